@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.aggregates import agg_named, calculate_aggregate, sum_of_terms
 from weftline.operators.columns import filter_at_least, project_columns, rename_key
 from weftline.operators.joins import join_data, join_roles, join_star_left
+from weftline.sources.files import read_data
+from weftline.sources.sinks import write_data
 
 # Column types of the business review data set.
 BUSINESS_SCHEMA = (
@@ -68,6 +70,22 @@ def business_ratings(
     return join_data(active, average_ratings(reviews), "id", "business_id")
 
 
+def run_business_ratings(
+    spark: SparkSession,
+    business_path: str,
+    reviews_path: str,
+    output_path: str,
+    fmt: str = "parquet",
+    keep_inputs: bool = False,
+) -> None:
+    """Read both inputs, rate, write ``output_path/rated``; optionally the inputs as well."""
+    business, reviews = read_data(spark, business_path), read_data(spark, reviews_path)
+    write_data(business_ratings(business, reviews), f"{output_path}/rated", fmt)
+    if keep_inputs:
+        write_data(business, f"{output_path}/business", fmt)
+        write_data(reviews, f"{output_path}/reviews", fmt)
+
+
 def ride_report(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips with the borough and zone names of both ends."""
     rides = join_roles(

@@ -152,13 +152,8 @@ def _analyzed_star(spark: SparkSession, sf_dir: str) -> DataFrame:
        JOIN nation nd ON c_nationkey = nd.n_nationkey""",
 )
 def _roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    customers, suppliers = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    fact = (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .withColumn("pickup", F.col("s_nationkey").cast("string"))
+    fact = roles.shipped_lines(spark, sf_dir).withColumn(
+        "pickup", F.col("s_nationkey").cast("string")
     )
     zones = {"pu": F.col("pickup").cast("int"), "do": "c_nationkey"}
     return joins.join_roles(fact, table(spark, sf_dir, "nation"), "n_nationkey", zones).select(

@@ -144,8 +144,7 @@ def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windows.session_count(_rides(spark, sf_dir), "driver_id")
-    with run.settings(spark, run.SESSION_SETTINGS):
-        return _plain(run.run_to_table(counts, "sessions"))
+    return _plain(run.run_to_table(counts, "sessions"))
 
 
 @query(
@@ -228,8 +227,10 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     drivers = table(spark, sf_dir, "supplier").select(
         *[F.col(source).alias(target) for source, target in DRIVERS.items()]
     )
-    with_customer = joins.join_static(_rides(spark, sf_dir), customers, "customer_id")
-    return joins.join_static(with_customer, drivers, "driver_id")
+    with_customer = joins.join_static(
+        _rides(spark, sf_dir), customers, "customer_id", row_id="ride_id"
+    )
+    return joins.join_static(with_customer, drivers, "driver_id", row_id="ride_id")
 
 
 ENRICHED_SQL = (

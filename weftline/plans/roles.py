@@ -31,33 +31,39 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order; it runs from the supplier's to the customer's nation."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    return shipped_lines(spark, sf_dir).select(
+        F.col("o_orderpriority").alias("hvfhs_license_num"),
+        F.col("s_nationkey").cast("string").alias("PULocationID"),
+        F.col("c_nationkey").alias("DOLocationID"),
+        F.col("o_orderdate").alias("request_datetime"),
+        F.col("l_shipdate").alias("pickup_datetime"),
+        F.col("l_shipdate").alias("dropoff_datetime"),
+        F.col("l_quantity").alias("trip_miles"),
+        F.col("l_linenumber").cast("long").alias("trip_time"),
+        money("l_extendedprice").alias("base_passenger_fare"),
+        money("l_tax").alias("tolls"),
+        money("l_discount").alias("bcf"),
+        money("l_tax").alias("sales_tax"),
+        money("l_discount").alias("congestion_surcharge"),
+        money("l_tax").alias("tips"),
+        money("o_totalprice").alias("driver_pay"),
+        F.col("l_returnflag").alias("shared_request_flag"),
+        F.col("l_linestatus").alias("shared_match_flag"),
+    )
+
+
+def shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with its supplier, order and customer.
+
+    Orders meet customers before they meet the lines, so the large table is not shuffled
+    once more for the customer key.
+    """
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (
-        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .select(
-            F.col("o_orderpriority").alias("hvfhs_license_num"),
-            F.col("s_nationkey").cast("string").alias("PULocationID"),
-            F.col("c_nationkey").alias("DOLocationID"),
-            F.col("o_orderdate").alias("request_datetime"),
-            F.col("l_shipdate").alias("pickup_datetime"),
-            F.col("l_shipdate").alias("dropoff_datetime"),
-            F.col("l_quantity").alias("trip_miles"),
-            F.col("l_linenumber").cast("long").alias("trip_time"),
-            money("l_extendedprice").alias("base_passenger_fare"),
-            money("l_tax").alias("tolls"),
-            money("l_discount").alias("bcf"),
-            money("l_tax").alias("sales_tax"),
-            money("l_discount").alias("congestion_surcharge"),
-            money("l_tax").alias("tips"),
-            money("o_totalprice").alias("driver_pay"),
-            F.col("l_returnflag").alias("shared_request_flag"),
-            F.col("l_linestatus").alias("shared_match_flag"),
-        )
+    placed = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    return lines.join(placed, lines.l_orderkey == placed.o_orderkey).join(
+        suppliers, lines.l_suppkey == suppliers.s_suppkey
     )
 
 

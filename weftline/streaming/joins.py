@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.joins import join_salted
+from weftline.operators.layout import total_bytes
+from weftline.operators.skew import BROADCAST_LIMIT_BYTES
+
 TIME = "event_time"
 
 
@@ -49,9 +53,15 @@ def _watermarked(df: DataFrame, delay: str | None) -> DataFrame:
     return df if delay is None else df.withWatermark(TIME, delay)
 
 
-def join_static(events: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Inner join of a stream with a table: no state, and a small table is broadcast by size.
+def join_static(
+    events: DataFrame, table: DataFrame, key: str, row_id: str, salts: int = 16
+) -> DataFrame:
+    """Inner join of a stream with a table, without join state.
 
-    Prefer it for customers and drivers, whose rows change rarely.
+    Prefer it for customers and drivers, whose rows change rarely.  A table whose measured size
+    is within the limit is broadcast; a larger one is joined with the events' keys spread over
+    ``salts``, since AQE does not split the joins of stateful streams.
     """
-    return events.join(table, key)
+    if total_bytes(table) <= BROADCAST_LIMIT_BYTES:
+        return events.join(F.broadcast(table), key)
+    return join_salted(events, table, key, salts=salts, spread_by=[row_id])

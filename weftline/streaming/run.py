@@ -2,41 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from weftline.workspace import workspace
 
-# Merge session rows inside each task before the shuffle.
-SESSION_SETTINGS = {
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"
-}
-
-# Keep state on executors' disks with incremental checkpoints instead of on the heap.
-STATE_SETTINGS = {
+# What queries are started with where the session says nothing else: state on the executors'
+# disks with incremental checkpoints instead of on the heap, and session rows merged inside
+# each task before the shuffle.
+DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
+    ),
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
-@contextmanager
-def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for the length of a block; a query keeps those it was started with."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
+def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query with the defaults; it keeps them, the session does not."""
+    added = {name: v for name, v in DEFAULTS.items() if spark.conf.get(name, None) is None}
+    for name, value in added.items():
         spark.conf.set(name, value)
     try:
-        yield
+        return writer.start()
     finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        for name in added:
+            spark.conf.unset(name)
 
 
 def table_writer(
@@ -56,7 +49,7 @@ def start_micro_batch(
 ) -> StreamingQuery:
     """Append to a table in micro-batches, as soon as possible or at a fixed interval."""
     writer = table_writer(stream, path, checkpoint)
-    return (writer.trigger(processingTime=every) if every else writer).start()
+    return start(writer.trigger(processingTime=every) if every else writer, stream.sparkSession)
 
 
 def start_continuous(
@@ -80,7 +73,9 @@ def start_tables(
     started = {}
     for name, stream in streams.items():
         writer = table_writer(stream, f"{root}/{name}", fmt=fmt)
-        started[name] = (writer.trigger(availableNow=True) if available_now else writer).start()
+        if available_now:
+            writer = writer.trigger(availableNow=True)
+        started[name] = start(writer, stream.sparkSession)
     return started
 
 
@@ -94,7 +89,8 @@ def drain(query: StreamingQuery) -> None:
 
 def append_available(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
     """Process everything that is there now and append the results to files at ``path``."""
-    drain(table_writer(stream, path, checkpoint).trigger(availableNow=True).start())
+    writer = table_writer(stream, path, checkpoint).trigger(availableNow=True)
+    drain(start(writer, stream.sparkSession))
 
 
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,17 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str)
     )
 
 
+def ride_topics(
+    spark: SparkSession, servers: str, topics: Mapping[str, str]
+) -> dict[str, DataFrame]:
+    """The decoded customers, drivers and rides streams; ``topics`` names the topic of each."""
+    schemas = {"customers": CUSTOMER_SCHEMA, "drivers": DRIVER_SCHEMA, "rides": RIDE_SCHEMA}
+    return {
+        name: decode_json(kafka_stream(spark, servers, topics[name]), schema)
+        for name, schema in schemas.items()
+    }
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """Parquet files as a stream; files that arrive later form later batches."""
     return spark.readStream.schema(schema).options(**options).parquet(path)

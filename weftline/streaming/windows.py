@@ -60,8 +60,7 @@ def session_count(
 ) -> DataFrame:
     """Rows per session: a pause longer than ``gap`` starts a new one.
 
-    Set ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` (see
-    ``run.SESSION_SETTINGS``) so that each task merges its rows into sessions before the shuffle.
+    With the defaults of ``run.start`` each task merges its rows into sessions before the shuffle.
     """
     return window_agg(df, F.session_window(TIME, gap), [key], {alias: F.count("*")}, delay)
 
