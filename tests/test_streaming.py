@@ -216,7 +216,9 @@ def test_a_failing_stream_raises(spark, tmp_path):
 
 
 def test_continuous_processing_of_a_map_only_stream(spark, tmp_path):
-    stream = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
+    # Continuous tasks hold their cores; leave some for the reads below.
+    rate = spark.readStream.format("rate").options(rowsPerSecond=50, numPartitions=2)
+    stream = rate.load()
     doubled = stream.select((F.col("value") * 2).alias("twice"))
     query = run.start_continuous(
         doubled, "memory", str(tmp_path / "c"), every="300 milliseconds", queryName="twice_rows"
