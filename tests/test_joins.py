@@ -44,7 +44,7 @@ tables = st.lists(st.tuples(keys, st.integers(0, 99)), max_size=30)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(left=tables, right=tables, how=st.sampled_from(["inner", "left"]), salts=st.sampled_from([None, 3]))
+@given(left=tables, right=tables, how=st.sampled_from(joins.SALTED_HOWS), salts=st.sampled_from([None, 3]))
 def test_salted_join_equals_plain_join(spark, left, right, how, salts):
     big = spark.createDataFrame(left, "k INT, v INT")
     small = spark.createDataFrame(right, "k INT, w INT")

@@ -72,10 +72,11 @@ def test_upsert_with_two_source_rows_for_one_target_row_fails(spark):
             action()
 
 
-def test_upsert_inserts_repeated_and_null_source_keys_that_match_nothing(spark, rows):
+@pytest.mark.parametrize("rows_per_salt", [1, 1000])
+def test_upsert_inserts_repeated_and_null_source_keys_that_match_nothing(spark, rows, rows_per_salt):
     target = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "id INT, v STRING")
     source = spark.createDataFrame([(1, "z"), (5, "x"), (5, "y"), (None, "n")], "id INT, v STRING")
-    merged = versions.merge_upsert(target, source, "id", ["v"])
+    merged = versions.merge_upsert(target, source, "id", ["v"], rows_per_salt=rows_per_salt)
     assert rows(merged) == [(None, "c"), (None, "n"), (1, "z"), (1, "z"), (5, "x"), (5, "y")]
 
 

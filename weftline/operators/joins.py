@@ -17,6 +17,7 @@ from weftline.operators.layout import total_bytes
 from weftline.operators.skew import BROADCAST_LIMIT_BYTES, hot_groups, spread_hot
 
 HOWS = ("inner", "left", "right", "outer")
+SALTED_HOWS = ("inner", "left", "left_anti")
 
 
 def join_using(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -111,21 +112,26 @@ def join_salted(
     rows_per_salt: int = 1_000_000,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join whose hot keys are spread over salts: inner, or left with ``big`` preserved.
+    """Join whose hot keys are spread over salts: inner, left or left_anti, ``big`` on the left.
 
     ``big`` rows get a salt from a hash of ``spread_by`` (all columns by default), which a
     retried task repeats; ``small`` rows are repeated once per salt.  With ``salts`` every key
     is spread that often.  Without it the keys are counted first and only the hot ones are
     spread, each in proportion to its rows.  NULL keys match nothing and are spread alike.
+
+    AQE splits hot keys only where both sides of the join come straight from their shuffles;
+    use this form where one side is an aggregate on the same key.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("a salted join is inner or left")
+    if how not in SALTED_HOWS:
+        raise ValueError(f"a salted join is one of {', '.join(SALTED_HOWS)}")
     if salts is not None:
         spread = F.xxhash64(*[F.col(c) for c in (spread_by or big.columns)])
         fanned = big.withColumn("__part", F.pmod(spread, F.lit(salts)).cast("int"))
         copies = small.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     else:
         hot = hot_groups(big, [key], rows_per_salt)
+        if hot.isEmpty():
+            return big.join(small, key, how)
         fanned = spread_hot(big, hot, [key], spread_by or big.columns).drop("__size")
         copies = (
             small.join(hot, F.col(key).eqNullSafe(F.col("__hot0")), "left")

@@ -33,8 +33,11 @@ def spread_hot(
 
     The part is a hash of the row's own ``spread_by`` values, which a retried task repeats.
     """
+    size = total_bytes(hot)
+    if size == 0:
+        return df.withColumns({"__part": F.lit(0), "__size": F.lit(None).cast("long")})
     same = [F.col(k).eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(keys)]
-    small = total_bytes(hot) <= BROADCAST_LIMIT_BYTES
+    small = size <= BROADCAST_LIMIT_BYTES
     part = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.coalesce("__parts", F.lit(1)))
     spread = (
         df.join(F.broadcast(hot) if small else hot, same, "left")

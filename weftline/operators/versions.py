@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.joins import join_salted
+
 VERSION = "version"
 
 
@@ -44,36 +46,45 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def _not_in(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def _not_in(
+    source: DataFrame, target: DataFrame, key: str, rows_per_salt: int
+) -> DataFrame:
     """Source rows whose key the target does not have; a NULL key matches nothing."""
-    present = target.select(F.col(key).alias("__present")).distinct()
-    return source.join(present, F.col(key) == F.col("__present"), "left_anti")
+    present = target.select(key).distinct()
+    unmatched = join_salted(source, present, key, "left_anti", rows_per_salt=rows_per_salt)
+    return unmatched.select(*source.columns)
 
 
-def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def merge_insert_only(
+    target: DataFrame, source: DataFrame, key: str, rows_per_salt: int = 1_000_000
+) -> DataFrame:
     """Add the source rows that match no target row."""
-    return target.unionByName(_not_in(source, target, key))
+    return target.unionByName(_not_in(source, target, key, rows_per_salt))
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, key: str, columns: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    rows_per_salt: int = 1_000_000,
 ) -> DataFrame:
     """Update ``columns`` where a source row matches, insert the source rows that match none.
 
-    Two source rows for one target row are an error when the result is computed.  The source
-    is reduced to one row per key before it meets the target, and each half is a left join of
-    the side whose keys may repeat, which AQE can split.
+    Two source rows for one target row are an error when the result is computed.  Each side is
+    reduced to one row per key before it meets the other, and keys that repeat very often on
+    the other side are spread over tasks.
     """
-    changes = source.groupBy(F.col(key).alias("__key")).agg(
+    changes = source.groupBy(key).agg(
         F.count("*").alias("__n"),
         *[F.any_value(F.col(c)).alias(f"__new_{c}") for c in columns],
     )
-    matched = F.col("__key").isNotNull()
+    matched = F.col("__n").isNotNull()
     ambiguous = F.raise_error(
         F.concat(F.lit("several source rows match the target row with key "), F.col(key).cast("string"))
     )
     updated = (
-        target.join(changes, F.col(key) == F.col("__key"), "left")
+        join_salted(target, changes, key, "left", rows_per_salt=rows_per_salt)
         # As a filter the guard also runs for actions that read no column.
         .where(F.when(matched & (F.col("__n") > 1), ambiguous).cast("string").isNull())
         .withColumns(
@@ -81,7 +92,7 @@ def merge_upsert(
         )
         .select(*target.columns)
     )
-    return updated.unionByName(_not_in(source, target, key))
+    return updated.unionByName(_not_in(source, target, key, rows_per_salt))
 
 
 def read_version(history: DataFrame, version: int) -> DataFrame:
