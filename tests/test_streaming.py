@@ -191,6 +191,17 @@ def test_defaults_belong_to_the_query_and_not_to_the_session(spark, tmp_path):
         query.stop()
 
 
+def test_state_partitions_follow_the_input_up_to_the_setting(spark):
+    before = spark.conf.get(run.PARTITIONS)
+    spark.conf.set(run.PARTITIONS, 200)
+    try:
+        assert run.state_partitions(spark, 0) == spark.sparkContext.defaultParallelism
+        assert run.state_partitions(spark, 50 * 128 * 1024**2) == 50
+        assert run.state_partitions(spark, 10**15) == 200
+    finally:
+        spark.conf.set(run.PARTITIONS, before)
+
+
 def test_several_tables_have_their_own_checkpoints(spark, tmp_path):
     streams = {}
     for name in ("a", "b"):

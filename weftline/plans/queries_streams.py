@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.plans.registry import money, query, table
-from weftline.sources.sinks import write_parquet
+from weftline.sources.sinks import folder_bytes, write_parquet
 from weftline.streaming import fraud, joins, run, sources, windows
 from weftline.workspace import workspace
 
@@ -17,6 +17,13 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return sources.file_stream(spark, path, table(spark, sf_dir, name).schema)
 
 
+def _result(stream: DataFrame, sf_dir: str, purpose: str) -> DataFrame:
+    """Run a stream over the events to its end, with state partitions that suit their size."""
+    spark = stream.sparkSession
+    size = folder_bytes(spark, f"{sf_dir}/events.parquet")
+    return run.run_to_table(stream, purpose, run.state_partitions(spark, size))
+
+
 def _rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as rides; there are ten drivers."""
     return _stream(spark, sf_dir, "events").select(
@@ -63,7 +70,7 @@ DECODED_SQL = "SELECT event_id, user_id, event_type, value, props, ts AS event_t
 @query("stream_decode_json", DECODED_SQL)
 def _decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = sources.decode_json(_messages(spark, sf_dir), DECODED)
-    return _plain(run.run_to_table(decoded, "decoded"))
+    return _plain(_result(decoded, sf_dir, "decoded"))
 
 
 @query("stream_micro_batch", DECODED_SQL)
@@ -122,7 +129,7 @@ SLIDING_SQL = (
 @query("stream_sliding_count", SLIDING_SQL)
 def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windows.sliding_count(_rides(spark, sf_dir), "customer_id")
-    return _plain(run.run_to_table(counts, "sliding"))
+    return _plain(_result(counts, sf_dir, "sliding"))
 
 
 @query(
@@ -144,7 +151,7 @@ def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windows.session_count(_rides(spark, sf_dir), "driver_id")
-    return _plain(run.run_to_table(counts, "sessions"))
+    return _plain(_result(counts, sf_dir, "sessions"))
 
 
 @query(
@@ -162,7 +169,7 @@ def _tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = windows.tumbling_agg(
         _rides(spark, sf_dir), "driver_id", "fare", "ride_id", length="1 hour"
     )
-    return _plain(run.run_to_table(totals, "tumbling"))
+    return _plain(_result(totals, sf_dir, "tumbling"))
 
 
 def _profiles(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, str]) -> DataFrame:
@@ -190,7 +197,7 @@ def _join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = joins.join_streams(
         _rides(spark, sf_dir), customers, "customer_id", within=VALID, salts=8, row_id="ride_id"
     )
-    return _plain(run.run_to_table(joined, "rides-customers"))
+    return _plain(_result(joined, sf_dir, "rides-customers"))
 
 
 @query(
@@ -216,7 +223,7 @@ def _join_three(spark: SparkSession, sf_dir: str) -> DataFrame:
         salts=8,
         row_id="ride_id",
     )
-    return _plain(run.run_to_table(joined, "rides-customers-drivers"))
+    return _plain(_result(joined, sf_dir, "rides-customers-drivers"))
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +262,7 @@ ENRICHED_SQL = (
 )
 def _fraud_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     busy = fraud.busy_customers(_enriched(spark, sf_dir), length="1 day")
-    return _plain(run.run_to_table(busy, "busy-customers"))
+    return _plain(_result(busy, sf_dir, "busy-customers"))
 
 
 HOURLY_SQL = ENRICHED_SQL + """, hourly AS (
@@ -275,7 +282,7 @@ HOURLY_SQL = ENRICHED_SQL + """, hourly AS (
 )
 def _fraud_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = fraud.driver_customers(_enriched(spark, sf_dir), length="1 hour")
-    report = fraud.driver_report(run.run_to_table(counts, "driver-customers"))
+    report = fraud.driver_report(_result(counts, sf_dir, "driver-customers"))
     text = F.transform("customer_ids", lambda key: key.cast("string"))
     return _plain(report.withColumn("customer_ids", F.array_join(text, ",")))
 
@@ -289,7 +296,7 @@ def _fraud_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _fraud_driver_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     busy = fraud.busy_drivers(_enriched(spark, sf_dir), length="1 hour")
-    return _plain(run.run_to_table(busy, "busy-drivers"))
+    return _plain(_result(busy, sf_dir, "busy-drivers"))
 
 
 @query(
@@ -318,5 +325,6 @@ def _late(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = windows.window_agg(
             arrived, F.window("event_time", "1 day"), ["event_type"], {"n": F.count("*")}, "2 days"
         )
-        run.append_available(counts, out)
+        size = folder_bytes(spark, f"{sf_dir}/events.parquet")
+        run.append_available(counts, out, partitions=run.state_partitions(spark, size))
     return _plain(spark.read.schema(counts.schema).parquet(out))
