@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def is_null_or_blank(column: str) -> Column:
-    """True for NULL, for empty text and for text of white space only."""
+    """True for NULL, for empty text and for text of blanks only."""
     value = F.col(column)
-    return value.isNull() | value.rlike(r"^\s*$")
+    return value.isNull() | (F.trim(value) == "")
 
 
 def as_number(column: str, type_name: str = "double") -> Column:

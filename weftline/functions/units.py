@@ -14,7 +14,7 @@ BYTES_PER_MB = 1024 * 1024
 
 
 def format_bytes(column: Column | str) -> Column:
-    """``0B`` for zero, otherwise ``<value with two decimals> <unit>`` in powers of 1024."""
+    """``0B`` for zero, otherwise ``<value> <unit>`` in powers of 1024, rounded to two decimals."""
     size = F.col(column) if isinstance(column, str) else column
     text = F.when(size == 0, F.lit("0B"))
     # Compare with exact powers: a logarithm can land just below a whole number.
@@ -22,7 +22,7 @@ def format_bytes(column: Column | str) -> Column:
         scaled = F.round(size.cast("double") / F.lit(float(1024**power)), 2)
         text = text.when(
             size.cast("double") >= float(1024**power),
-            F.concat(F.format_string("%.2f", scaled), F.lit(f" {unit}")),
+            F.concat(scaled.cast("string"), F.lit(f" {unit}")),
         )
     return text
 

@@ -226,10 +226,15 @@ def _size(spark: SparkSession, sf_dir: str) -> DataFrame:
     "format_bytes",
     SIZE_SQL
     + """SELECT column_name, bytes, CASE WHEN bytes = 0 THEN '0B'
-             WHEN bytes >= 1073741824 THEN format('{:.2f} GB', round(bytes / 1073741824.0, 2))
-             WHEN bytes >= 1048576 THEN format('{:.2f} MB', round(bytes / 1048576.0, 2))
-             WHEN bytes >= 1024 THEN format('{:.2f} KB', round(bytes / 1024.0, 2))
-             ELSE format('{:.2f} B', CAST(bytes AS DOUBLE)) END AS size_text FROM report""",
+             WHEN bytes >= 1099511627776
+                 THEN CAST(round(CAST(bytes AS DOUBLE) / 1099511627776, 2) AS VARCHAR) || ' TB'
+             WHEN bytes >= 1073741824
+                 THEN CAST(round(CAST(bytes AS DOUBLE) / 1073741824, 2) AS VARCHAR) || ' GB'
+             WHEN bytes >= 1048576
+                 THEN CAST(round(CAST(bytes AS DOUBLE) / 1048576, 2) AS VARCHAR) || ' MB'
+             WHEN bytes >= 1024
+                 THEN CAST(round(CAST(bytes AS DOUBLE) / 1024, 2) AS VARCHAR) || ' KB'
+             ELSE CAST(CAST(bytes AS DOUBLE) AS VARCHAR) || ' B' END AS size_text FROM report""",
 )
 def _size_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.size_report(table(spark, sf_dir, "documents"))

@@ -17,6 +17,7 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
