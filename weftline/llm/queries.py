@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import hash_tree, token_counts, warc
+from weftline.llm import best_fit, hash_tree, prefix_join, token_counts, warc
 from weftline.plans.registry import query, table
 
 SHARDS = 8
 TOKEN_LIMIT = 4096
 
 
+@query("op2_best_fit")
+def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.token_counts(table(spark, sf_dir, "documents"))
@@ -34,6 +39,24 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("record_id", "page_id").join(read, "record_id").drop("record_id")
 
 
+@query("op9_prefix_join")
+def op9_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_join.similar_components(table(spark, sf_dir, "documents"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, by the table of its reflected polynomial."""
+    codes = []
+    for code in range(256):
+        for _ in range(8):
+            code = (code >> 1) ^ (0xEDB88320 if code & 1 else 0)
+        codes.append(code)
+    data = f"regexp_extract_all(hex(encode(coalesce({text}, ''))), '..')"
+    data = f"list_transform({data}, lambda x: ('0x' || x)::BIGINT)"
+    step = f"xor(c >> 8, ({codes}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295)"
+
+
 _NOW, _GROWN = hash_tree.shard_tree(SHARDS), hash_tree.shard_tree(SHARDS + 1)
 
 
@@ -41,12 +64,13 @@ _NOW, _GROWN = hash_tree.shard_tree(SHARDS), hash_tree.shard_tree(SHARDS + 1)
     "op8_hash_tree",
     f"""
     WITH d AS (
-      SELECT doc_id, coalesce(octet_length(text::BLOB), 0)::BIGINT + 1 AS size, text,
+      SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 1 AS size,
+             {_crc32_sql("text")}::BIGINT AS text_crc32,
              ({hash_tree.place_sql("doc_id", _NOW)})::INTEGER AS shard,
              ({hash_tree.place_sql("doc_id", _GROWN)})::INTEGER AS grown_shard,
              ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':slot'), 1, 3))::INTEGER AS slots
       FROM documents)
-    SELECT doc_id, size, 'key' AS law, shard, grown_shard,
+    SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
            row_number() OVER (PARTITION BY shard ORDER BY slots, doc_id) - 1 AS slot
     FROM d
     """,
