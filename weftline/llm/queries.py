@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import best_fit, hash_tree, prefix_join, token_counts, warc
+from weftline.llm import best_fit, hash_tree, prefix_join, repeats, token_counts, warc
 from weftline.plans.registry import query, table
 
 SHARDS = 8
@@ -17,6 +17,12 @@ def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op4_run_index")
+def op4_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).drop("text")
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.token_counts(table(spark, sf_dir, "documents"))
