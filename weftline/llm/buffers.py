@@ -53,8 +53,22 @@ _BASE = 0x2545F4914F6CDD1D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+_KEPT: dict[int, np.ndarray] = {}
+_KEPT_POWERS = 1 << 22
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; up to 4 M of them are kept for the next block."""
+    kept = _KEPT.get(base, _BYTE[:0])
+    if len(kept) >= n:
+        return kept[:n]
+    out = _make_powers(base, min(_KEPT_POWERS, 2 * n) if n <= _KEPT_POWERS else n)
+    if len(out) <= _KEPT_POWERS:
+        _KEPT[base] = out
+    return out[:n]
+
+
+def _make_powers(base: int, n: int) -> np.ndarray:
     out = np.ones(max(n, 1), np.uint64)
     done, step = 1, np.uint64(base)
     while done < n:
@@ -66,6 +80,14 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges: prefix sums of ``byte * base ** place``, moved back to the start."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=total[1:])
+    moved = (total[end] - total[start]) * _powers(_INVERSE, len(data) + 1)[start]
+    return mix(moved + (end - start).astype(np.uint64))
+
+
 class Words:
     """The words of a block of texts: maximal runs of bytes that ``is_word`` marks.
 
@@ -95,13 +117,7 @@ class Words:
 
     @property
     def key(self) -> np.ndarray:
-        """Hashes by prefix sums of ``byte * base ** place``, moved back to the word's start."""
-        n = len(self._data)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self._fold[self._data]] * _powers(_BASE, n), out=total[1:])
-        back = _powers(_INVERSE, n + 1)
-        key = (total[self.end] - total[self.start]) * back[self.start]
-        return mix(key + (self.end - self.start).astype(np.uint64))
+        return range_hashes(self._fold[self._data], self.start, self.end)
 
 
 def lower_ascii() -> np.ndarray:

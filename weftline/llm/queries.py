@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import best_fit, hash_tree, prefix_join, repeats, token_counts, warc
+from weftline.llm import best_fit, fm_index, hash_tree, prefix_join, repeats, token_counts, warc
 from weftline.plans.registry import query, table
 
 SHARDS = 8
@@ -23,6 +23,27 @@ def op4_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(docs).drop("text")
 
 
+_ITEM_WORDS = """
+    list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')
+"""
+
+
+@query("op5_fm_index")
+def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fm_index.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.token_counts(table(spark, sf_dir, "documents"))
