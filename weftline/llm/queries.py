@@ -5,13 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import best_fit, fm_index, hash_tree, prefix_join, repeats, token_counts, warc
+from weftline.llm import (
+    best_fit,
+    byte_cnn,
+    fm_index,
+    hash_tree,
+    line_crf,
+    prefix_join,
+    repeats,
+    token_counts,
+    warc,
+)
 from weftline.plans.registry import query, table
 
 SHARDS = 8
 TOKEN_LIMIT = 4096
 
 
+GOOD_SCORE = 0.7
+
+
+@query("op1_byte_cnn")
+def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = byte_cnn.train(docs, table(spark, sf_dir, "labels"))
+    return byte_cnn.quality_scores(docs, network).select(
+        "doc_id",
+        byte_cnn.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"),
+    )
+
+
 @query("op2_best_fit")
 def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
@@ -23,11 +48,10 @@ def op4_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(docs).drop("text")
 
 
-_ITEM_WORDS = """
-    list_filter(string_split_regex(translate(coalesce(text, ''),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')
-"""
+@query("op3_line_crf")
+def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_crf.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.drop("text", "content_share")
 
 
 @query("op5_fm_index")
