@@ -129,8 +129,8 @@ def score(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-mean.clip(-30, 30)))
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 64, rate: float = 0.01) -> Network:
-    """Adam on the log loss of whole texts; both labels weigh the same."""
+def fit(texts: list[bytes], labels: list[int], steps: int = 400, batch: int = 64, rate: float = 0.01) -> Network:
+    """Adam on the log loss of whole texts for about ``steps`` batches; both labels weigh the same."""
     net, random = new_network(), np.random.default_rng(11)
     labels = np.asarray(labels, np.float32)
     if not len(labels):
@@ -139,7 +139,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 64,
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     slots = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
     turn = 0
-    for _ in range(epochs):
+    while turn < steps:
         order = random.permutation(len(texts))
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]

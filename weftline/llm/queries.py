@@ -10,6 +10,7 @@ from weftline.llm import (
     byte_cnn,
     fm_index,
     hash_tree,
+    html_crf,
     line_crf,
     prefix_join,
     repeats,
@@ -134,3 +135,9 @@ def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("key").alias("law"),
     )
     return hash_tree.assign(docs, "doc_id", _NOW, _GROWN)
+
+
+@query("op10_html_crf")
+def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_crf.extract(pages).drop("html")
