@@ -143,7 +143,8 @@ def labelled_page(random: Random) -> str:
             inner = f"<h3>{text(3)}</h3>" + "".join(wrap.format(text()) for _ in range(random.randint(1, 4)))
         else:
             mark = "&copy; " if region == "footer" and random.random() < 0.7 else ""
-            inner = mark + random.choice((text(), f"<p>{text()}</p>", f"<h3>{text(3)}</h3><p>{text()}</p>{link()}", link()))
+            title = f"<h1>{text(3)}</h1>" if region == "header" else text(3)
+            inner = mark + random.choice((text(), title, f"<p>{text()}</p>", f"<h3>{text(3)}</h3><p>{text()}</p>{link()}", link()))
         return start.replace(">", " data-label=0>", 1) + inner + end
 
     def some(regions: list[str], share: float) -> str:
