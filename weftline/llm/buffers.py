@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20  # texts handled together; only a longer single text makes a larger block
+BLOCK_BYTES = 1 << 18  # texts handled together; only a longer single text makes a larger block
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

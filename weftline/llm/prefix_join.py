@@ -16,6 +16,7 @@ a fixed size; a shared counter only makes a shingle look more common, and any or
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ from weftline.workspace import materialize
 
 COUNTER_BITS = 24  # counters of the shingle table: 16 M, one byte each where it is read
 SLICES = 256
+FILTER_BITS = 25  # bits of the filter of sets to read: 4 MB
 PERCENT = 90
 WORDS = 3
 BITMAP_WORDS = 4  # 64-bit words of a set's bitmap
@@ -75,12 +77,15 @@ def bitmap(shingles: np.ndarray) -> list[int]:
 
 
 def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Rows of documents (key, n, high, low) and, apart, of each task's counters (slice, counts)."""
+    """Rows of documents (key, n, high, low) and, apart, of each task's counters (slice, counts).
+
+    A task counts to 255, which is as common as a shingle of its few documents needs to look.
+    """
     schema = df.select(F.col("key")).schema.simpleString()[7:-1]
     counters = 1 << COUNTER_BITS
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen, kind = np.zeros(counters, np.uint16), set(), None
+        counts, seen, kind = np.zeros(counters, np.uint8), set(), None
         for block in blocks(batches, "text"):
             kind = block.column("key").type
             sets = shingle_sets(*text_bytes(block.column("text")), width)
@@ -89,7 +94,7 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                 if h not in seen:
                     seen.add(h)
                     at = s >> np.uint64(64 - COUNTER_BITS)
-                    counts[at] = np.minimum(counts[at], 65534) + 1
+                    counts[at] = np.minimum(counts[at], 254) + 1
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("key"),
@@ -108,7 +113,7 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                         pa.nulls(1, kind),
                         *(pa.nulls(1, pa.int64()) for _ in range(3)),
                         pa.array([number], pa.int32()),
-                        pa.array([part.tobytes()], pa.binary()),
+                        pa.array([zlib.compress(part, 1)], pa.binary()),
                     ],
                     names=["key", "n", "high", "low", "slice", "counts"],
                 )
@@ -123,7 +128,7 @@ def _rarity(counted: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts = np.frombuffer(part, np.uint16)
+                counts = np.frombuffer(zlib.decompress(part), np.uint8)
                 sums[number] = sums[number] + counts if number in sums else counts.astype(np.uint64)
         for number, total in sums.items():
             scaled = np.minimum(255, 6 * np.log2(1.0 + total)).astype(np.uint8)
@@ -197,6 +202,72 @@ def _shared_prefixes(df: DataFrame, rarity, width: int, percent: int, buckets: i
     )
 
 
+def _filter(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of the hashes of ``nodes``: of a fixed size, so others may pass it, but none is missed."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, used = np.zeros(1 << FILTER_BITS, bool), False
+        for batch in batches:
+            bits[_filter_place(batch.column("high").to_numpy())] = True
+            used = True
+        for number, part in enumerate(np.split(np.packbits(bits), SLICES) if used else ()):
+            if part.any():
+                packed = pa.array([zlib.compress(part, 1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), packed], names=["slice", "bits"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                bits = np.frombuffer(zlib.decompress(part), np.uint8)
+                joined[number] = joined[number] | bits if number in joined else bits
+        for number, bits in joined.items():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "bits": [bits.tobytes()]})
+
+    marked = nodes.select("high").mapInArrow(mark, "slice int, bits binary").repartition("slice")
+    size = (1 << FILTER_BITS) // 8 // SLICES
+    whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for row in marked.mapInArrow(join, "slice int, bits binary").collect():
+        whole[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return whole
+
+
+def _filter_place(high: np.ndarray) -> np.ndarray:
+    return (high.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _read_sets(rows: DataFrame, wanted, width: int) -> DataFrame:
+    """``high, low, shingles, bits, n`` of the documents that pass the filter, equal ones once a task."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap_of, seen = wanted.value, set()
+        for block in blocks(batches, "text"):
+            sets = shingle_sets(*text_bytes(block.column("text")), width)
+            hashes = [set_hash(s) for s in sets]
+            place = _filter_place(np.array([h for h, _ in hashes], np.int64))
+            passes = (bitmap_of[place >> 3] >> (7 - (place & 7))) & 1
+            found = []
+            for s, h, passed in zip(sets, hashes, passes.tolist(), strict=True):
+                if passed and len(s) and h not in seen:
+                    seen.add(h)
+                    found.append((*h, s))
+            if found:
+                high, low, kept = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(high, pa.int64()),
+                        pa.array(low, pa.int64()),
+                        pa.array([s.tobytes() for s in kept], pa.binary()),
+                        pa.array([bitmap(s) for s in kept], pa.list_(pa.int64())),
+                        pa.array([len(s) for s in kept], pa.int64()),
+                    ],
+                    names=["high", "low", "shingles", "bits", "n"],
+                )
+
+    schema = "high long, low long, shingles binary, bits array<bigint>, n long"
+    return rows.select("text").mapInArrow(read, schema)
+
+
 def _needed(a, b, percent: int):
     """The overlap that sets of sizes a and b must have."""
     return F.ceil(percent * (a + b) / F.lit(100 + percent))
@@ -268,7 +339,8 @@ def similar_components(
     prefixes = shared.groupBy("high", "low", "n").agg(F.sort_array(F.collect_list(entry)).alias("prefix"))
     group_id = F.md5(F.concat_ws(",", F.col("n"), F.to_json("prefix")))
     prefixes = prefixes.join(classes, ["high", "low"]).withColumn("group", group_id)
-    members = materialize(prefixes.select("node", "group", "n", "prefix"), "members")
+    members = prefixes.select("node", "high", "low", "group", "n", "prefix")
+    members = materialize(members, "members")
     groups = members.groupBy("group").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("members"),
         F.min("node").alias("leader"),
@@ -276,27 +348,12 @@ def similar_components(
     groups = materialize(groups, "groups")
     pairs = materialize(_group_pairs(groups, percent), "group-pairs")
 
-    # the sets of all members of paired groups, one text for each class
+    # the sets of all members of paired groups; a filter keeps most others from being sent at all
     paired = pairs.select(F.explode(F.array("g", "h")).alias("group")).distinct()
-    nodes = members.join(paired, "group").select(F.col("node").alias("key"), "group")
-    schema = rows.select(F.col("key").alias("node")).schema.simpleString()[7:-1]
-
-    def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
-            sets = shingle_sets(*text_bytes(block.column("text")), width)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("key"),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                ],
-                names=["node", "shingles", "bits", "n"],
-            )
-
-    texts = rows.join(materialize(nodes.select("key"), "nodes"), "key", "left_semi")
-    sets = texts.mapInArrow(read_sets, f"{schema}, shingles binary, bits array<bigint>, n long")
-    sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    nodes = materialize(members.join(paired, "group").select("node", "high", "low", "group"), "nodes")
+    wanted = spark.sparkContext.broadcast(_filter(nodes))  # 2 ** FILTER_BITS bits
+    sets = _read_sets(rows, wanted, width).dropDuplicates(["high", "low"])
+    sets = materialize(sets.join(nodes.select("node", "high", "low"), ["high", "low"]).drop("high", "low"), "sets")
 
     # first round: every member of a pair of groups against the smallest of them all
     leaders = groups.select(F.col("group"), "leader")
@@ -306,12 +363,12 @@ def similar_components(
         .select("g", "h", F.least("leader_g", "leader_h").alias("a"))
     )
     sides = led.select(F.col("g").alias("group"), "a").unionByName(led.select(F.col("h").alias("group"), "a"))
-    to_leader = nodes.withColumnRenamed("key", "b").join(sides, "group").where("a <> b").select("a", "b")
+    to_leader = nodes.select(F.col("node").alias("b"), "group").join(sides, "group").where("a <> b").select("a", "b")
     links = materialize(_links(to_leader.distinct(), sets, percent), "links")
     labels = components(links)
 
     # second round: members of different components, where the bitmaps leave a link possible
-    named = nodes.withColumnRenamed("key", "node").join(labels, "node", "left")
+    named = nodes.select("node", "group").join(labels, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     spans = named.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_pairs = (
