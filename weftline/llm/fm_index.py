@@ -287,11 +287,12 @@ def contamination(
         }
     )
     schema = found.schema
-    searched = False
-    for phrases in phrase_blocks(benchmark, item_key, item_text, window):  # each pass adds to the last
+    passes = 0
+    for phrases in phrase_blocks(benchmark, item_key, item_text, window):  # each adds to the last
         sent = df.sparkSession.sparkContext.broadcast(phrases)
-        found, searched = found.mapInArrow(search(sent), schema), True
-    if not searched:
+        found = (materialize(found, "found") if passes else found).mapInArrow(search(sent), schema)
+        passes += 1
+    if not passes:
         found = found.mapInArrow(search(None), schema)
     hits = F.aggregate(
         "__hits",
