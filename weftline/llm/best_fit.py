@@ -208,10 +208,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
             undecided[item] = left[item]
             take(item, left[item])
             continue
-        # in bulk: an exact pair stays exact, and an item that nothing joins stays alone
-        exact = sum(chosen) == capacity and len(chosen) <= 2
-        alone = len(chosen) == 1 and 2 * item > capacity
-        many = min(left[s] // chosen.count(s) for s in set(chosen)) if exact or alone else 1
+        # in bulk: taking copies of the set only removes alternatives, so it dominates while they last
+        many = min(left[s] // chosen.count(s) for s in set(chosen))
         offset = 0
         for size in chosen:
             result.put(used, size, many, result.sequences, 1, offset)

@@ -59,6 +59,7 @@ class Laid:
     data: np.ndarray  # bytes with padding
     flag: np.ndarray
     unit_start: np.ndarray  # first window of each unit
+    unit_end: np.ndarray  # the window after its last
     chunk_unit: np.ndarray  # chunk x CHUNK_UNITS: its units, the last repeated
     chunk_text: np.ndarray
     texts: int
@@ -89,12 +90,13 @@ def lay_out(data: np.ndarray, offsets: np.ndarray) -> Laid:
     unit_before = np.cumsum(units) - units
     nth = np.arange(len(unit_text)) - unit_before[unit_text]
     unit_start = first[unit_text] // STRIDE + nth * UNIT
+    unit_end = np.minimum(unit_start + UNIT, (first // STRIDE + windows)[unit_text])
     chunks = np.maximum(1, -(-(units - CHUNK_UNITS) // CHUNK_STEP) + 1)
     chunk_text = np.repeat(np.arange(texts), chunks)
     nth = np.arange(len(chunk_text)) - (np.cumsum(chunks) - chunks)[chunk_text]
     chunk_unit = nth[:, None] * CHUNK_STEP + np.arange(CHUNK_UNITS)
     chunk_unit = np.minimum(chunk_unit, units[chunk_text][:, None] - 1) + unit_before[chunk_text][:, None]
-    return Laid(laid, flag, unit_start, chunk_unit, chunk_text, texts)
+    return Laid(laid, flag, unit_start, unit_end, chunk_unit, chunk_text, texts)
 
 
 def _windows(net: Network, laid: Laid) -> np.ndarray:
@@ -110,10 +112,15 @@ def _windows(net: Network, laid: Laid) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(flat, shape, strides, writeable=False)
 
 
+def _by_unit(response: np.ndarray, laid: Laid) -> np.ndarray:
+    """Maxima over each unit's own windows, without those between texts."""
+    bounds = np.stack([laid.unit_start, laid.unit_end], axis=1).ravel()
+    return np.maximum.reduceat(response, bounds, axis=0)[::2]
+
+
 def _pooled(net: Network, laid: Laid) -> np.ndarray:
     """Max-pooled responses of every chunk."""
-    response = _windows(net, laid) @ net.kernel
-    by_unit = np.maximum.reduceat(response, laid.unit_start, axis=0)
+    by_unit = _by_unit(_windows(net, laid) @ net.kernel, laid)
     pooled = by_unit[laid.chunk_unit].max(axis=1) + net.bias
     return np.maximum(pooled, 0)
 
@@ -159,8 +166,7 @@ def fit(texts: list[bytes], labels: list[int], steps: int = 400, batch: int = 64
 def _gradients(net: Network, laid: Laid, labels: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     windows = _windows(net, laid)
     response = windows @ net.kernel
-    by_unit = np.maximum.reduceat(response, laid.unit_start, axis=0)
-    stacked = by_unit[laid.chunk_unit]
+    stacked = _by_unit(response, laid)[laid.chunk_unit]
     best = stacked.argmax(axis=1)
     unit = np.take_along_axis(laid.chunk_unit, best, axis=1)
     pooled = np.maximum(stacked.max(axis=1) + net.bias, 0)
@@ -171,13 +177,12 @@ def _gradients(net: Network, laid: Laid, labels: np.ndarray, weight: np.ndarray)
     d_unit = np.append(pooled.T @ chunk_error, chunk_error.sum()).astype(np.float32)
     d_pooled = chunk_error[:, None] * net.unit[:-1] * (pooled > 0)
     # the window that won each unit, found again for the units that won a chunk
-    ends = np.append(laid.unit_start[1:], len(response))
     d_kernel, d_embed = np.zeros_like(net.kernel), np.zeros_like(net.embed)
     for f in range(FILTERS):
         live = np.flatnonzero(d_pooled[:, f])
         units = unit[live, f]
         places = laid.unit_start[units][:, None] + np.arange(UNIT)
-        places = np.minimum(places, ends[units][:, None] - 1)
+        places = np.minimum(places, laid.unit_end[units][:, None] - 1)
         won = places[np.arange(len(live)), response[places, f].argmax(axis=1)]
         d = d_pooled[live, f]
         d_kernel[:, f] = d @ windows[won]
