@@ -8,13 +8,14 @@ from weftline.operators import aggregates, ordering
 from weftline.plans import jobs
 
 
-def test_golden_ratings(spark):
+def test_average_ratings(spark):
     reviews = spark.createDataFrame(
-        [("1", "1", "1", 5), ("2", "2", "2", 4), ("3", "1", "3", 3)],
+        [("r7", "u4", "cafe", 2), ("r8", "u5", "cafe", 3), ("r9", "u4", "cafe", 5), ("ra", "u6", "bar", None),
+         ("rb", "u6", "bar", 1), ("rc", "u7", "pier", None), ("rd", "u4", None, 4)],
         "review_id STRING, user_id STRING, business_id STRING, stars INT",
     )
     expected = spark.createDataFrame(
-        [("1", 5.0), ("2", 4.0), ("3", 3.0)], "business_id STRING, avg_rating DOUBLE"
+        [("cafe", 10 / 3), ("bar", 1.0), ("pier", None), (None, 4.0)], "business_id STRING, avg_rating DOUBLE"
     )
     assertDataFrameEqual(jobs.average_ratings(reviews), expected)
 
@@ -54,26 +55,34 @@ GROUPS = [("big", i) for i in range(25)] + [("two", 1), ("two", 1), ("one", 5),
 
 
 @pytest.mark.parametrize("part_rows", [100, 4])
-def test_collected_values_are_whole_whatever_the_part_size(spark, part_rows):
-    df = spark.createDataFrame(GROUPS, "k STRING, v INT")
-    lists = aggregates.collect_values(df, ["k"], "v", "vs", min_size=2, part_rows=part_rows)
-    found: dict = {}
-    for row in lists.collect():
-        assert row.vs == sorted(row.vs)
-        assert row.size == {"big": 25, "two": 2}[row.k]
-        found.setdefault(row.k, []).extend(row.vs)
-    assert {k: sorted(v) for k, v in found.items()} == {"big": list(range(25)), "two": [1, 1]}
-    parts = {row.part for row in lists.collect() if row.k == "big"}
-    assert (len(parts) == 1) == (part_rows == 100)
+def test_collected_parts_are_neighbouring_values(spark, part_rows):
+    df = spark.createDataFrame(GROUPS, "k STRING, v INT").withColumn("id", F.monotonically_increasing_id())
+    lists = aggregates.collect_values(df, ["k"], "v", "vs", ["id"], min_size=2, part_rows=part_rows)
+    found = {(row.k, row.part): (row.size, row.vs) for row in lists.collect()}
+    want = {("two", 0): (2, [1, 1])}
+    want |= {("big", i // part_rows): (25, list(range(25))[i : i + part_rows]) for i in range(0, 25, part_rows)}
+    assert found == want
 
 
-@pytest.mark.parametrize("part_rows", [100, 4])
+@pytest.mark.parametrize("part_rows", [100, 1])
 def test_size_limits_drop_whole_groups(spark, rows, part_rows):
-    df = spark.createDataFrame(GROUPS, "k STRING, v INT")
+    df = spark.createDataFrame(GROUPS, "k STRING, v INT").withColumn("id", F.monotonically_increasing_id())
     lists = aggregates.collect_values(
-        df, ["k"], "v", "vs", min_size=1, max_size=2, part_rows=part_rows
+        df, ["k"], "v", "vs", ["id"], min_size=1, max_size=2, part_rows=part_rows
     )
-    assert rows(lists.select("k", "size")) == [("one", 1), ("two", 2)]
+    whole = [("one", 1, 0, [5]), ("two", 2, 0, [1, 1])]
+    cut = [("one", 1, 0, [5]), ("two", 2, 0, [1]), ("two", 2, 1, [1])]
+    assert rows(lists.select("k", "size", "part", "vs")) == (whole if part_rows == 100 else cut)
+
+
+@pytest.mark.parametrize("value", ["v", "same"])
+def test_a_hot_group_is_numbered_in_many_tasks(spark, value):
+    df = spark.range(5_000).selectExpr("'hot' AS k", "id", "id AS v", "7 AS same")
+    lists = aggregates.collect_values(df, ["k"], value, "vs", ["id"], part_rows=300)
+    parts = {row.part: row.vs for row in lists.collect()}
+    joined = [v for part in sorted(parts) for v in parts[part]]
+    assert joined == ([7] * 5_000 if value == "same" else list(range(5_000)))
+    assert all(len(vs) == 300 for part, vs in parts.items() if part < 16) and len(parts) == 17
 
 
 def test_value_counts_order(spark):

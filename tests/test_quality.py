@@ -86,7 +86,7 @@ def test_profile_and_suggestions(spark, rows):
     assert tuple(profile["id"])[1:] == ("bigint", 1.0, 100, 49.5, 0.0, 99.0)
     assert tuple(profile["kind"])[1:] == ("string", 1.0, 4, None, None, None)
     assert tuple(profile["x"])[1:] == ("double", 0.5, 1, -1.5, -1.5, -1.5)
-    assert rows(quality.suggest_constraints(df, exact=True)) == [
+    assert rows(quality.suggest_constraints(df, exact=True)) == rows(quality.suggest_constraints(df)) == [
         ("id", "complete"),
         ("id", "non_negative"),
         ("id", "unique"),
@@ -143,3 +143,15 @@ def test_column_statistics_are_stored(spark, tmp_path):
         assert facts["distinct_count"] == "10" and facts["max"] == "9"
     finally:
         spark.sql("DROP TABLE t_stats")
+
+
+def test_estimates_do_not_hide_unique_columns(spark):
+    df = spark.range(10_000).selectExpr("id", "CONCAT('n', id) AS name", "id % 5000 AS half", "id % 25 AS `it's`")
+    found = {tuple(r) for r in quality.suggest_constraints(df).collect()}
+    assert {c for c, s in found if s == "unique"} == {"id", "name"}
+    assert {c for c, s in found if s == "categorical"} == {"it's"}
+
+
+def test_exact_profiles_need_no_expand(spark, plan):
+    df = spark.range(10).selectExpr("id", "id % 3 AS k", "CAST(id AS STRING) AS s")
+    assert "Expand" not in plan(quality.column_profile(df, exact=True))

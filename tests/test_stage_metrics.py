@@ -10,14 +10,14 @@ COLUMNS = sorted(
 )
 GB = 1024**3
 
-# The two stages of a small CSV job, as published with its report.
+# Two stages in which the processor and the loading of the task take most of the time.
 REPORTED = [
-    dict(stageId=0, stageDuration=1930, executorRunTime=783, executorCpuTime=685, jvmGCTime=27,
-         executorDeserializeTime=784, numTasks=1, recordsRead=1, bytesRead=335,
-         submissionTime=0, completionTime=1930),
-    dict(stageId=1, stageDuration=515, executorRunTime=367, executorCpuTime=318, jvmGCTime=0,
-         executorDeserializeTime=110, numTasks=1, recordsRead=10, bytesRead=335,
-         submissionTime=2860, completionTime=3375),
+    dict(stageId=0, stageDuration=4100, executorRunTime=2000, executorCpuTime=1900, jvmGCTime=60,
+         executorDeserializeTime=900, numTasks=3, recordsRead=40, bytesRead=5120,
+         submissionTime=100, completionTime=4200),
+    dict(stageId=1, stageDuration=900, executorRunTime=400, executorCpuTime=350, jvmGCTime=8,
+         executorDeserializeTime=240, numTasks=2, recordsRead=12, bytesRead=2048,
+         submissionTime=4300, completionTime=5200),
 ]
 
 
@@ -100,8 +100,8 @@ def test_units_and_report_order(spark):
 
 def test_summary_of_the_reported_job(spark):
     row = sm.summarize_metrics(_frame(spark, REPORTED)).first()
-    assert (row.numStages, row.numTasks, row.recordsRead) == (2, 2, 11)
-    assert (row.elapsedTime_seconds, row.elapsedTime_minutes) == (3.375, 0.05625)
-    assert (row.executorRunTime_seconds, row.executorCpuTime_seconds) == (1.15, 1.003)
-    assert row.jvmGCTime_minutes == 0.00045
-    assert row.bytesRead_MBs == 0.0006389617919921875
+    assert (row.numStages, row.numTasks, row.recordsRead) == (2, 5, 52)
+    assert (row.elapsedTime_seconds, row.elapsedTime_minutes) == (5.1, 0.085)
+    assert (row.executorRunTime_seconds, row.executorCpuTime_seconds) == (2.4, 2.25)
+    assert row.jvmGCTime_minutes == pytest.approx(0.068 / 60)
+    assert row.bytesRead_MBs == 7 / 1024

@@ -7,6 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.plans import queries_streams
+from weftline.plans.registry import QUERIES
 from weftline.sources.sinks import write_parquet
 from weftline.streaming import fraud, joins, run, sources, windows
 from weftline.workspace import workspace
@@ -173,12 +175,12 @@ def test_report_expands_counts_across_blocks(spark, monkeypatch):
     assert row.ride_count == 13 and Counter(row.customer_ids) == {"a": 9, "b": 4}
 
 
-def test_defaults_belong_to_the_query_and_not_to_the_session(spark, tmp_path):
+def test_queries_start_with_the_defaults(spark, tmp_path):
     stream = spark.readStream.format("rate").load().withWatermark("timestamp", "1 minute")
     counts = stream.groupBy(F.session_window("timestamp", "5 minutes"), "value").count()
     query = run.start(run.table_writer(counts, str(tmp_path / "out")), spark)
     try:
-        assert all(spark.conf.get(name, None) is None for name in run.DEFAULTS)
+        assert all(spark.conf.get(name) == value for name, value in run.DEFAULTS.items())
         state = []
         for _ in range(100):
             progress = query.lastProgress
@@ -191,15 +193,37 @@ def test_defaults_belong_to_the_query_and_not_to_the_session(spark, tmp_path):
         query.stop()
 
 
-def test_state_partitions_follow_the_input_up_to_the_setting(spark):
-    before = spark.conf.get(run.PARTITIONS)
-    spark.conf.set(run.PARTITIONS, 200)
-    try:
-        assert run.state_partitions(spark, 0) == spark.sparkContext.defaultParallelism
-        assert run.state_partitions(spark, 50 * 128 * 1024**2) == 50
-        assert run.state_partitions(spark, 10**15) == 200
-    finally:
-        spark.conf.set(run.PARTITIONS, before)
+@pytest.mark.parametrize("days", [90, -5 * 365])
+def test_stream_joins_keep_every_ride_at_any_date(spark, days):
+    """The tables' events, moved in time; the joins, in waves, must give the rows of plain joins."""
+    source, moved = "/root/testdata/sf0.001", workspace(spark, "moved")
+    shift = F.col("ts") + F.expr(f"INTERVAL {days} DAYS")
+    spark.read.parquet(f"{source}/events.parquet").withColumn("ts", shift).write.parquet(f"{moved}/events.parquet")
+    for name in ("customer", "supplier"):
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{moved}/{name}.parquet")
+    for name in ("stream_join_inner", "stream_join_three_way"):
+        here, there = (QUERIES[name](spark, d).drop("event_time") for d in (source, moved))
+        assert here.count() > 0
+        assert sorted(map(tuple, here.collect())) == sorted(map(tuple, there.collect()))
+
+
+def test_waves_drop_no_row_and_let_state_go(spark, monkeypatch):
+    seen = []
+    start = run.start
+
+    def watched(writer, session):
+        query = start(writer, session)
+        seen.append(query)
+        return query
+
+    monkeypatch.setattr(run, "start", watched)
+    QUERIES["stream_tumbling_agg"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == queries_streams.WAVES
+    rows = [sum(o.numRowsTotal for o in q.recentProgress[-1].stateOperators) for q in seen]
+    dropped = sum(o.numRowsDroppedByWatermark for q in seen for p in q.recentProgress for o in p.stateOperators)
+    updated = [sum(o.numRowsUpdated for p in q.recentProgress for o in p.stateOperators) for q in seen]
+    assert dropped == 0
+    assert max(rows) < max(updated)  # closed windows are gone when a wave ends
 
 
 def test_several_tables_have_their_own_checkpoints(spark, tmp_path):

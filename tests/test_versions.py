@@ -88,9 +88,11 @@ def test_diff_lists_pairs_seen_once(history, rows):
 
 def test_read_restore_and_average(history, chain):
     assert _by_id(versions.read_version(history, 2)) == _by_id(chain[2])
-    restored = versions.restore_version(history, 2, newest=4)
+    restored = versions.restore_version(history, 2)
     assert _by_id(versions.read_version(restored, 5)) == _by_id(chain[2])
     assert versions.read_version(restored, 4).count() == 8
+    with pytest.raises(ValueError, match="no version 9"):
+        versions.restore_version(history, 9)
     averages = {r.version: r.a for r in versions.avg_by_version(history, "age", "a").collect()}
     assert averages[0] == pytest.approx(320 / 9)
 
@@ -98,7 +100,7 @@ def test_read_restore_and_average(history, chain):
 def test_history_counts_changes_per_commit(spark, history):
     operations = ["WRITE", "UPDATE", "DELETE", "MERGE", "MERGE", "WRITE", "TRUNCATE"]
     commits = rows_to_frame(spark, list(enumerate(operations)), "version INT, operation STRING")
-    restored = versions.restore_version(history, 2, newest=4)
+    restored = versions.restore_version(history, 2)
     log = {r.version: tuple(r)[1:] for r in versions.version_history(restored, commits, "id").collect()}
     assert log == {
         0: ("WRITE", 10, 10, 0, 0),
@@ -116,3 +118,24 @@ def test_one_version_reads_one_folder(spark, history, plan, tmp_path):
     stored = versions.read_version(spark.read.parquet(str(tmp_path / "h")), 2)
     assert "PartitionFilters: [isnotnull(version" in plan(stored)
     assert stored.count() == 6
+
+
+def test_versioned_table_logs_what_it_writes(spark, tmp_path, rows):
+    made = versions.VersionedTable(spark, str(tmp_path / "t"))
+    assert made.newest() == -1 and made.commits().count() == 0
+    made.commit(spark.range(3), "WRITE")
+    made.commit(versions.delete_where(made.read(0), F.col("id") == 1), "DELETE")
+    assert made.restore(0) == 2
+    assert rows(made.commits()) == [(0, "WRITE"), (1, "DELETE"), (2, "RESTORE")]
+    assert rows(made.read(1)) == [(0,), (2,)]
+    assert made.history().groupBy("version").count().orderBy("version").collect()[2]["count"] == 3
+    with pytest.raises(ValueError, match="no version 3"):
+        made.read(3)
+
+
+def test_an_unlogged_snapshot_is_no_version(spark, tmp_path):
+    made = versions.VersionedTable(spark, str(tmp_path / "t"))
+    made.commit(spark.range(3), "WRITE")
+    spark.range(9).write.parquet(str(tmp_path / "t" / "data" / "version=1"))  # a writer that died here
+    assert made.history().count() == 3
+    assert made.commit(spark.range(4), "WRITE") == 1 and made.history().count() == 7

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.operators.skew import hot_groups, spread_hot
+from weftline.workspace import materialize
 
 FUNCTIONS = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
@@ -50,32 +50,57 @@ def collect_values(
     keys: Sequence[str],
     column: str,
     alias: str,
+    spread_by: Sequence[str],
     min_size: int = 1,
     max_size: int | None = None,
     part_rows: int = 100_000,
-    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sorted non-NULL values per group, for groups of ``min_size`` to ``max_size`` values.
 
-    Adds ``size`` (values in the whole group) and ``part``.  A group of at most ``part_rows``
-    values is one row with part 0.  Larger groups are counted beforehand; those that pass the
-    size test come as several rows, their values spread over parts by a hash of ``spread_by``
-    (a row key; the value itself by default), so that no task has to hold such a group.
+    Adds ``size`` (values in the whole group) and ``part``: every row holds ``part_rows``
+    neighbouring values of its group's sorted list, the last part the rest.  ``spread_by`` names
+    columns that tell rows with equal values apart.
+
+    With ``max_size`` each task first limits a group to one value more than that.  Without it the
+    rows are range-partitioned by group and value, written to the workspace and numbered by
+    partition and offset, so that no task has to hold a large group; this runs a job.
     """
-    extra = [c for c in (spread_by or []) if c not in (*keys, column)]
+    extra = [c for c in spread_by if c not in (*keys, column)]
     values = df.select(*keys, column, *extra).where(F.col(column).isNotNull())
-    hot = hot_groups(values, keys, part_rows)
-    spread = spread_hot(values, hot, keys, spread_by or [column])
     if max_size is not None:
-        spread = spread.where(F.coalesce("__size", F.lit(0)) <= max_size)
-    size = F.coalesce(F.any_value("__size"), F.count("*"))
-    gathered = spread.groupBy(*keys, F.col("__part").alias("part")).agg(
-        size.alias("size"), F.array_sort(F.collect_list(column)).alias(alias)
+        first = Window.partitionBy(*keys).orderBy(column, *extra)
+        few = values.withColumn("__rank", F.row_number().over(first)).where(
+            F.col("__rank") <= max_size + 1
+        )
+        lists = few.groupBy(*keys).agg(
+            F.count("*").alias("size"), F.array_sort(F.collect_list(column)).alias("__all")
+        )
+        starts = F.sequence(F.lit(0), F.floor((F.col("size") - 1) / part_rows).cast("int"))
+        parts = F.transform(starts, lambda i: F.slice("__all", i * part_rows + 1, part_rows))
+        kept = lists.where(F.col("size").between(min_size, max_size))
+        return kept.select(*keys, "size", F.posexplode(parts).alias("part", alias))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = values.repartitionByRange(n, *keys, column, *extra)
+    ranged = materialize(ranged.withColumn("__range", F.spark_partition_id()), "ranged-values")
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*keys, "__range").agg(F.count("*").alias("__n"))
+    offsets = offsets.select(
+        *[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
+        F.col("__range").alias("__in"),
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        F.sum("__n").over(group).alias("size"),
+    ).where(F.col("size") >= min_size)
+    same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]
+    inside = Window.partitionBy(*keys, "__range").orderBy(column, *extra)
+    numbered = ranged.withColumn("__number", F.row_number().over(inside) - 1)
+    rank = F.col("__before") + F.col("__number")
+    placed = numbered.join(offsets, [*same, F.col("__range") == F.col("__in")]).withColumn(
+        "part", F.floor(rank / part_rows).cast("int")
+    )
+    return placed.groupBy(*keys, "size", "part").agg(
+        F.array_sort(F.collect_list(column)).alias(alias)
     )
-    kept = F.col("size") >= min_size
-    if max_size is not None:
-        kept &= F.col("size") <= max_size
-    return gathered.where(kept)
 
 
 def value_counts(df: DataFrame, column: str, alias: str = "n") -> DataFrame:
@@ -96,8 +121,16 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     one_row = df.agg(
         *[f(c).alias(f"{c}__{name}") for c in columns for name, f in statistics.items()]
     )
-    rows = ", ".join(
-        "'" + c + "', " + ", ".join(f"`{c}__{name}`" for name in statistics) for c in columns
-    )
-    header = ", ".join(["column_name", "n", "mean", "stddev", "min_value", "max_value"])
-    return one_row.selectExpr(f"stack({len(columns)}, {rows}) AS ({header})")
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            *[
+                F.col(f"`{c}__{name}`").alias(as_)
+                for name, as_ in zip(
+                    statistics, ("n", "mean", "stddev", "min_value", "max_value"), strict=True
+                )
+            ],
+        )
+        for c in columns
+    ]
+    return one_row.select(F.inline(F.array(*rows)))

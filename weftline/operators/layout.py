@@ -90,11 +90,10 @@ def estimate_size(df: DataFrame) -> DataFrame:
             for i, f in enumerate(fields)
         ]
     )
-    total = " + ".join(f"`__{i}`" for i in range(len(fields)))
-    rows = ", ".join(f"'{f.name}', `__{i}`" for i, f in enumerate(fields))
-    return one_row.selectExpr(
-        f"stack({len(fields) + 1}, {rows}, 'total', {total}) AS (column_name, bytes)"
-    )
+    sizes = [F.col(f"__{i}") for i in range(len(fields))]
+    named = [*zip([f.name for f in fields], sizes, strict=True), ("total", sum(sizes, F.lit(0)))]
+    rows = [F.struct(F.lit(n).alias("column_name"), size.alias("bytes")) for n, size in named]
+    return one_row.select(F.inline(F.array(*rows)))
 
 
 def size_report(df: DataFrame) -> DataFrame:

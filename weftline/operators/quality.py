@@ -105,10 +105,11 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             F.count("*").alias("n_total"),
             *[F.count_if(_row_test(c)).alias(f"__{i}") for i, c in enumerate(row_wise)],
         )
-        rows = ", ".join(f"'{c.label}', n_total, `__{i}`" for i, c in enumerate(row_wise))
-        frames.append(
-            one_row.selectExpr(f"stack({len(row_wise)}, {rows}) AS (constraint, n_total, n_good)")
-        )
+        rows = [
+            F.struct(F.lit(c.label).alias("constraint"), "n_total", F.col(f"__{i}").alias("n_good"))
+            for i, c in enumerate(row_wise)
+        ]
+        frames.append(one_row.select(F.inline(F.array(*rows))))
     for check in checks:
         if check.constraint == "isUnique":
             counts = _unique_counts(df, check.column)
@@ -133,51 +134,63 @@ def run_analyzers(
         F.approx_count_distinct(distinct, rsd).cast("double").alias("distinct"),
         F.avg(mean).cast("double").alias("mean"),
     )
-    return one_row.selectExpr(
-        "stack(4, 'Size', '*', size,"
-        f" 'Completeness', '{complete}', completeness,"
-        f" 'ApproxCountDistinct', '{distinct}', distinct,"
-        f" 'Mean', '{mean}', mean) AS (metric, column_name, value)"
-    )
+    rows = [
+        F.struct(F.lit(m).alias("metric"), F.lit(c).alias("column_name"), F.col(v).alias("value"))
+        for m, c, v in (
+            ("Size", "*", "size"),
+            ("Completeness", complete, "completeness"),
+            ("ApproxCountDistinct", distinct, "distinct"),
+            ("Mean", mean, "mean"),
+        )
+    ]
+    return one_row.select(F.inline(F.array(*rows)))
 
 
 def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: type, completeness, distinct values, and mean, min and max of numbers.
 
-    Distinct values are estimated in the same single pass.  ``exact=True`` counts them: Spark
-    then spreads the (column, value) pairs over the cluster, combined before the shuffle.
+    Distinct values are estimated in the same single pass.  ``exact=True`` counts them, by one
+    group count for each column that reads only that column.
     """
     return _profile(df, exact).drop("n_rows")
 
 
+def _distinct(df: DataFrame, name: str) -> DataFrame:
+    """One row: the number of distinct non-NULL values of a column."""
+    value = F.col(f"`{name}`").alias("__value")
+    return df.select(value).where("__value IS NOT NULL").distinct().agg(F.count("*").alias("n"))
+
+
 def _profile(df: DataFrame, exact: bool) -> DataFrame:
     fields = df.schema.fields
     columns = [F.count("*").alias("__rows")]
     for i, f in enumerate(fields):
         value = F.col(f"`{f.name}`")
-        columns += [
-            F.count(value).alias(f"__n{i}"),
-            (F.count_distinct(value) if exact else F.approx_count_distinct(value)).alias(f"__d{i}"),
-        ]
+        columns.append(F.count(value).alias(f"__n{i}"))
+        if not exact:
+            columns.append(F.approx_count_distinct(value).alias(f"__d{i}"))
         if isinstance(f.dataType, T.NumericType):
             columns += [
                 F.avg(value).cast("double").alias(f"__a{i}"),
                 F.min(value).cast("double").alias(f"__l{i}"),
                 F.max(value).cast("double").alias(f"__h{i}"),
             ]
-    empty = "CAST(NULL AS DOUBLE)"
     rows = []
     for i, f in enumerate(fields):
         numeric = isinstance(f.dataType, T.NumericType)
-        stats = [f"__a{i}", f"__l{i}", f"__h{i}"] if numeric else [empty] * 3
+        distinct = _distinct(df, f.name).scalar() if exact else F.col(f"__d{i}")
+        stats = [F.col(f"__{s}{i}") if numeric else F.lit(None).cast("double") for s in "alh"]
         rows.append(
-            f"'{f.name}', '{f.dataType.simpleString()}',"
-            f" try_divide(CAST(__n{i} AS DOUBLE), __rows), __d{i}, {', '.join(stats)}, __rows"
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.try_divide(F.col(f"__n{i}").cast("double"), F.col("__rows")).alias("completeness"),
+                distinct.alias("distinct_values"),
+                *[s.alias(n) for s, n in zip(stats, ("mean", "min_value", "max_value"), strict=True)],
+                F.col("__rows").alias("n_rows"),
+            )
         )
-    header = (
-        "column_name, data_type, completeness, distinct_values, mean, min_value, max_value, n_rows"
-    )
-    return df.agg(*columns).selectExpr(f"stack({len(fields)}, {', '.join(rows)}) AS ({header})")
+    return df.agg(*columns).select(F.inline(F.array(*rows)))
 
 
 # A column is called categorical up to this many distinct values, and up to
@@ -186,12 +199,32 @@ CATEGORY_VALUES = 25
 CATEGORY_RATIO = 0.1
 
 
+#: Relative standard deviation of estimated distinct counts, Spark's default.
+RSD = 0.05
+
+
 def suggest_constraints(df: DataFrame, exact: bool = False) -> DataFrame:
-    """Constraints that the profile supports, as (column_name, suggestion) rows."""
+    """Constraints that the profile supports, as (column_name, suggestion) rows.
+
+    By default distinct values are estimated: columns whose estimate leaves "unique" or
+    "categorical" open (within three standard deviations) are then counted, each by a group
+    count of its own.  The estimates are read first, one row for each column.
+    """
+    profile = _profile(df, exact)
+    if not exact:
+        near = 3 * RSD
+        n, d = F.col("n_rows"), F.col("distinct_values")
+        may_be_unique = (F.col("completeness") == 1.0) & (d >= n * (1 - near))
+        may_be_category = (d <= CATEGORY_VALUES * (1 + near)) & (d <= n * CATEGORY_RATIO * (1 + near))
+        open_ = [r[0] for r in profile.where(may_be_unique | may_be_category).select("column_name").collect()]
+        counted = F.col("distinct_values")
+        for name in open_:
+            counted = F.when(F.col("column_name") == name, _distinct(df, name).scalar()).otherwise(counted)
+        known = F.col("column_name").isin(*open_) if open_ else F.lit(False)
+        profile = profile.withColumn("distinct_values", F.when(known, counted))
     rules: Mapping[str, Column] = {
         "complete": F.col("completeness") == 1.0,
-        "unique": (F.col("completeness") == 1.0)
-        & (F.col("distinct_values") == F.col("n_rows")),
+        "unique": (F.col("completeness") == 1.0) & (F.col("distinct_values") == F.col("n_rows")),
         "non_negative": F.col("min_value") >= 0,
         "categorical": (F.col("distinct_values") <= CATEGORY_VALUES)
         & (F.col("distinct_values") <= F.col("n_rows") * CATEGORY_RATIO),
@@ -200,4 +233,4 @@ def suggest_constraints(df: DataFrame, exact: bool = False) -> DataFrame:
         F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()]),
         lambda name: name.isNotNull(),
     )
-    return _profile(df, exact).select("column_name", F.explode(found).alias("suggestion"))
+    return profile.select("column_name", F.explode(found).alias("suggestion"))

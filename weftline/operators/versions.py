@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.joins import join_salted
@@ -100,10 +101,65 @@ def read_version(history: DataFrame, version: int) -> DataFrame:
     return history.filter(F.col(VERSION) == version).drop(VERSION)
 
 
-def restore_version(history: DataFrame, version: int, newest: int) -> DataFrame:
-    """The history with an old snapshot appended as version ``newest + 1``."""
-    restored = read_version(history, version).withColumn(VERSION, F.lit(newest + 1))
-    return history.unionByName(restored)
+def restore_version(history: DataFrame, version: int) -> DataFrame:
+    """The history with an old snapshot appended as its newest version.
+
+    Looks up that the version exists; a version the history lacks is an error.
+    """
+    old = read_version(history, version)
+    if old.isEmpty():
+        raise ValueError(f"the history has no version {version}")
+    newest = history.agg(F.max(VERSION)).scalar()
+    return history.unionByName(old.withColumn(VERSION, (newest + 1).cast(history.schema[VERSION].dataType)))
+
+
+class VersionedTable:
+    """Snapshots in ``root/data/version=N`` and a log of (version, operation) in ``root/log``.
+
+    Every commit writes its snapshot once and records what made it; later snapshots are built from
+    the written ones.  Commits of one table are made by one writer at a time.
+    """
+
+    LOG = "version INT, operation STRING"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def commits(self) -> DataFrame:
+        """The log; empty before the first commit."""
+        try:
+            return self.spark.read.schema(self.LOG).parquet(f"{self.root}/log")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.LOG)
+
+    def newest(self) -> int:
+        """The newest version, -1 before the first commit."""
+        return self.commits().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+
+    def commit(self, snapshot: DataFrame, operation: str) -> int:
+        """Write a snapshot as the next version, then its log row: an unlogged snapshot is none."""
+        version = self.newest() + 1
+        snapshot.write.mode("overwrite").parquet(f"{self.root}/data/{VERSION}={version}")
+        entry = self.spark.createDataFrame([(version, operation)], self.LOG)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        return version
+
+    def history(self) -> DataFrame:
+        """All logged snapshots, with their version."""
+        written = self.spark.read.parquet(f"{self.root}/data")
+        return written.where(F.col(VERSION) <= self.newest())
+
+    def read(self, version: int) -> DataFrame:
+        """One snapshot; only its folder is read."""
+        if not 0 <= version <= self.newest():
+            raise ValueError(f"the table has no version {version}")
+        return self.spark.read.parquet(f"{self.root}/data/{VERSION}={version}")
+
+    def restore(self, version: int) -> int:
+        """Commit an old snapshot again."""
+        return self.commit(self.read(version), "RESTORE")
 
 
 def version_history(history: DataFrame, commits: DataFrame, key: str) -> DataFrame:

@@ -100,9 +100,13 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_collect_list",
-    """SELECT l_orderkey, count(*) AS size, 0 AS part,
+    """WITH ranked AS (
+         SELECT l_orderkey, l_partkey, count(*) OVER (PARTITION BY l_orderkey) AS size,
+                (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) - 1) // 4 AS part
+         FROM lineitem)
+       SELECT l_orderkey, size, CAST(part AS INTEGER) AS part,
               string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts
-       FROM lineitem GROUP BY l_orderkey HAVING count(*) BETWEEN 2 AND 6""",
+       FROM ranked WHERE size BETWEEN 2 AND 6 GROUP BY l_orderkey, size, part""",
 )
 def _collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = aggregates.collect_values(
@@ -110,9 +114,10 @@ def _collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_orderkey"],
         "l_partkey",
         "parts",
+        spread_by=["l_linenumber", "l_suppkey"],
         min_size=2,
         max_size=6,
-        spread_by=["l_partkey", "l_linenumber", "l_suppkey"],
+        part_rows=4,
     )
     text = F.transform("parts", lambda key: key.cast("string"))
     return lists.withColumn("parts", F.array_join(text, ","))

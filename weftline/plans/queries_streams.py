@@ -2,31 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.plans.registry import money, query, table
-from weftline.sources.sinks import folder_bytes, write_parquet
+from weftline.sources.sinks import write_parquet
 from weftline.streaming import fraud, joins, run, sources, windows
 from weftline.workspace import workspace
 
 
+WAVES = 4
+
+
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # In braces the file name is a pattern, so it may be one file or a folder of files.
     path = f"{sf_dir}/{{{name}}}.parquet"
     return sources.file_stream(spark, path, table(spark, sf_dir, name).schema)
 
 
-def _result(stream: DataFrame, sf_dir: str, purpose: str) -> DataFrame:
-    """Run a stream over the events to its end, with state partitions that suit their size."""
-    spark = stream.sparkSession
-    size = folder_bytes(spark, f"{sf_dir}/events.parquet")
-    return run.run_to_table(stream, purpose, run.state_partitions(spark, size))
+Build = Callable[[DataFrame], DataFrame]
+
 
+def _result(spark: SparkSession, sf_dir: str, purpose: str, build: Build) -> DataFrame:
+    """Feed the events in WAVES slices of event time, each processed before the next arrives.
 
-def _rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ``build`` makes the query from the stream of events.  Later waves hold later events, so the
+    watermark drops none, and state of closed windows is gone before the next wave.
+    """
+    events = table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    inbox, out = workspace(spark, f"{purpose}-inbox"), workspace(spark, purpose)
+    for wave in range(WAVES):
+        start = low + (high - low) * wave / WAVES if low else None
+        end = low + (high - low) * (wave + 1) / WAVES if low else None
+        slice_ = F.col("ts") >= F.lit(start)
+        if wave < WAVES - 1:
+            slice_ &= F.col("ts") < F.lit(end)
+        elif low is not None:  # rows without a time come last
+            slice_ |= F.col("ts").isNull()
+        write_parquet(events.where(slice_), f"{inbox}/wave={wave}")
+        arrived = sources.file_stream(spark, f"{inbox}/wave=*", events.schema)
+        stream = build(arrived.select(*events.columns))
+        run.append_available(stream, out)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _rides(events: DataFrame) -> DataFrame:
     """events as rides; there are ten drivers."""
-    return _stream(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("ride_id"),
         F.col("user_id").alias("customer_id"),
         (F.col("user_id") % 10).alias("driver_id"),
@@ -69,8 +94,10 @@ DECODED_SQL = "SELECT event_id, user_id, event_type, value, props, ts AS event_t
 
 @query("stream_decode_json", DECODED_SQL)
 def _decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = sources.decode_json(_messages(spark, sf_dir), DECODED)
-    return _plain(_result(decoded, sf_dir, "decoded"))
+    def build(events: DataFrame) -> DataFrame:
+        return sources.decode_json(sources.encode_json(events, "ts", "event_id"), DECODED)
+
+    return _plain(_result(spark, sf_dir, "decoded", build))
 
 
 @query("stream_micro_batch", DECODED_SQL)
@@ -128,8 +155,11 @@ SLIDING_SQL = (
 
 @query("stream_sliding_count", SLIDING_SQL)
 def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = windows.sliding_count(_rides(spark, sf_dir), "customer_id")
-    return _plain(_result(counts, sf_dir, "sliding"))
+    return _plain(
+        _result(
+            spark, sf_dir, "sliding", lambda e: windows.sliding_count(_rides(e), "customer_id")
+        )
+    )
 
 
 @query(
@@ -150,8 +180,9 @@ def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT sessions.* FROM sessions, closed WHERE window_end <= watermark""",
 )
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = windows.session_count(_rides(spark, sf_dir), "driver_id")
-    return _plain(_result(counts, sf_dir, "sessions"))
+    return _plain(
+        _result(spark, sf_dir, "sessions", lambda e: windows.session_count(_rides(e), "driver_id"))
+    )
 
 
 @query(
@@ -166,23 +197,31 @@ def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
          GROUP BY date_trunc('hour', event_time), driver_id""",
 )
 def _tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = windows.tumbling_agg(
-        _rides(spark, sf_dir), "driver_id", "fare", "ride_id", length="1 hour"
-    )
-    return _plain(_result(totals, sf_dir, "tumbling"))
+    def build(events: DataFrame) -> DataFrame:
+        return windows.tumbling_agg(
+            _rides(events), "driver_id", "fare", "ride_id", length="1 hour"
+        )
+
+    return _plain(_result(spark, sf_dir, "tumbling", build))
 
 
 def _profiles(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, str]) -> DataFrame:
-    """A profile stream whose rows are valid from the first day of the events."""
+    """A profile stream whose rows are valid from the first event on."""
+    since = table(spark, sf_dir, "events").agg(F.min("ts")).first()[0]
     return _stream(spark, sf_dir, name).select(
         *[F.col(source).alias(target) for source, target in columns.items()],
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("event_time"),
+        F.lit(since).cast("timestamp").alias("event_time"),
     )
 
 
+def _validity(spark: SparkSession, sf_dir: str) -> str:
+    """How long profiles are valid: as long as there are events."""
+    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    return f"{int((high - low).total_seconds()) + 1 if low else 1} seconds"
+
+
 CUSTOMERS = {"c_custkey": "customer_id", "c_name": "customer_name"}
 DRIVERS = {"s_suppkey": "driver_id", "s_name": "driver_name"}
-VALID = "60 days"
 
 
 @query(
@@ -193,11 +232,15 @@ VALID = "60 days"
          FROM rides JOIN customer ON customer_id = c_custkey""",
 )
 def _join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
-    joined = joins.join_streams(
-        _rides(spark, sf_dir), customers, "customer_id", within=VALID, salts=8, row_id="ride_id"
-    )
-    return _plain(_result(joined, sf_dir, "rides-customers"))
+    valid = _validity(spark, sf_dir)
+
+    def build(events: DataFrame) -> DataFrame:
+        customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
+        return joins.join_streams(
+            _rides(events), customers, "customer_id", within=valid, salts=8, row_id="ride_id"
+        )
+
+    return _plain(_result(spark, sf_dir, "rides-customers", build))
 
 
 @query(
@@ -209,24 +252,28 @@ def _join(spark: SparkSession, sf_dir: str) -> DataFrame:
          JOIN supplier ON driver_id = s_suppkey""",
 )
 def _join_three(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
-    drivers = _profiles(spark, sf_dir, "supplier", DRIVERS)
-    enriched = joins.join_streams(
-        _rides(spark, sf_dir), customers, "customer_id", within=VALID, salts=8, row_id="ride_id"
-    )
-    joined = joins.join_streams(
-        enriched,
-        drivers,
-        "driver_id",
-        within=VALID,
-        delays=(None, "1 minute"),
-        salts=8,
-        row_id="ride_id",
-    )
-    return _plain(_result(joined, sf_dir, "rides-customers-drivers"))
+    valid = _validity(spark, sf_dir)
 
+    def build(events: DataFrame) -> DataFrame:
+        customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
+        drivers = _profiles(spark, sf_dir, "supplier", DRIVERS)
+        enriched = joins.join_streams(
+            _rides(events), customers, "customer_id", within=valid, salts=8, row_id="ride_id"
+        )
+        return joins.join_streams(
+            enriched,
+            drivers,
+            "driver_id",
+            within=valid,
+            delays=(None, "1 minute"),
+            salts=8,
+            row_id="ride_id",
+        )
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_result(spark, sf_dir, "rides-customers-drivers", build))
+
+
+def _enriched(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
     """Rides with customer and driver names from the tables."""
     customers = table(spark, sf_dir, "customer").select(
         *[F.col(source).alias(target) for source, target in CUSTOMERS.items()]
@@ -234,9 +281,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     drivers = table(spark, sf_dir, "supplier").select(
         *[F.col(source).alias(target) for source, target in DRIVERS.items()]
     )
-    with_customer = joins.join_static(
-        _rides(spark, sf_dir), customers, "customer_id", row_id="ride_id"
-    )
+    with_customer = joins.join_static(_rides(events), customers, "customer_id", row_id="ride_id")
     return joins.join_static(with_customer, drivers, "driver_id", row_id="ride_id")
 
 
@@ -261,8 +306,10 @@ ENRICHED_SQL = (
          GROUP BY date_trunc('day', event_time), customer_id HAVING count(ride_id) > 5""",
 )
 def _fraud_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    busy = fraud.busy_customers(_enriched(spark, sf_dir), length="1 day")
-    return _plain(_result(busy, sf_dir, "busy-customers"))
+    def build(events: DataFrame) -> DataFrame:
+        return fraud.busy_customers(_enriched(spark, sf_dir, events), length="1 day")
+
+    return _plain(_result(spark, sf_dir, "busy-customers", build))
 
 
 HOURLY_SQL = ENRICHED_SQL + """, hourly AS (
@@ -276,13 +323,23 @@ HOURLY_SQL = ENRICHED_SQL + """, hourly AS (
 @query(
     "stream_fraud_driver",
     HOURLY_SQL
-    + """SELECT window_start, window_end, driver_id, count(*) AS ride_count, 0 AS part,
+    + """, ranked AS (
+           SELECT window_start, window_end, driver_id, customer_id,
+                  count(*) OVER w AS ride_count,
+                  (row_number() OVER (PARTITION BY window_start, driver_id
+                                      ORDER BY customer_id) - 1) // 3 AS part
+           FROM hourly WINDOW w AS (PARTITION BY window_start, driver_id))
+         SELECT window_start, window_end, driver_id, ride_count, CAST(part AS INTEGER) AS part,
                 string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY customer_id) AS customer_ids
-         FROM hourly GROUP BY window_start, window_end, driver_id HAVING count(*) > 1""",
+         FROM ranked WHERE ride_count > 1
+         GROUP BY window_start, window_end, driver_id, ride_count, part""",
 )
 def _fraud_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = fraud.driver_customers(_enriched(spark, sf_dir), length="1 hour")
-    report = fraud.driver_report(_result(counts, sf_dir, "driver-customers"))
+    def build(events: DataFrame) -> DataFrame:
+        return fraud.driver_customers(_enriched(spark, sf_dir, events), length="1 hour")
+
+    counts = _result(spark, sf_dir, "driver-customers", build)
+    report = fraud.driver_report(counts, part_rows=3)
     text = F.transform("customer_ids", lambda key: key.cast("string"))
     return _plain(report.withColumn("customer_ids", F.array_join(text, ",")))
 
@@ -295,8 +352,10 @@ def _fraud_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
          FROM hourly GROUP BY window_start, window_end, driver_id HAVING count(*) > 1""",
 )
 def _fraud_driver_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    busy = fraud.busy_drivers(_enriched(spark, sf_dir), length="1 hour")
-    return _plain(_result(busy, sf_dir, "busy-drivers"))
+    def build(events: DataFrame) -> DataFrame:
+        return fraud.busy_drivers(_enriched(spark, sf_dir, events), length="1 hour")
+
+    return _plain(_result(spark, sf_dir, "busy-drivers", build))
 
 
 @query(
@@ -325,6 +384,5 @@ def _late(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = windows.window_agg(
             arrived, F.window("event_time", "1 day"), ["event_type"], {"n": F.count("*")}, "2 days"
         )
-        size = folder_bytes(spark, f"{sf_dir}/events.parquet")
-        run.append_available(counts, out, partitions=run.state_partitions(spark, size))
+        run.append_available(counts, out)
     return _plain(spark.read.schema(counts.schema).parquet(out))

@@ -5,15 +5,11 @@ v0 written, v1 updated, v2 deleted from, v3 merged insert-only, v4 upserted, v5
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators import versions
 from weftline.plans.registry import query, table
-from weftline.sources.files import rows_to_frame
-from weftline.sources.sinks import write_partitioned
 from weftline.workspace import workspace
 
 KEY = "c_custkey"
@@ -41,10 +37,6 @@ VERSIONS_SQL = """
                 UNION ALL SELECT *, 4 FROM v4)
 """
 
-# The operation behind each version.
-COMMITS = [(0, "WRITE"), (1, "UPDATE"), (2, "DELETE"), (3, "MERGE"), (4, "MERGE"), (5, "WRITE")]
-
-
 def _v0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(*COLUMNS)
 
@@ -79,20 +71,23 @@ def _v4(spark: SparkSession, sf_dir: str, v3: DataFrame) -> DataFrame:
     return versions.merge_upsert(v3, changed, KEY, ["c_acctbal", "c_mktsegment"])
 
 
-def _snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    v0 = _v0(spark, sf_dir)
-    v1 = _v1(v0)
-    v2 = _v2(v1)
-    v3 = _v3(spark, sf_dir, v2)
-    return [v0, v1, v2, v3, _v4(spark, sf_dir, v3)]
+def _table(spark: SparkSession, sf_dir: str, newest: int = 4) -> versions.VersionedTable:
+    """The versions up to ``newest``, each written once and made from the written one before."""
+    made = versions.VersionedTable(spark, workspace(spark, "customer-versions"))
+    steps = (
+        ("WRITE", lambda: _v0(spark, sf_dir)),
+        ("UPDATE", lambda: _v1(made.read(0))),
+        ("DELETE", lambda: _v2(made.read(1))),
+        ("MERGE", lambda: _v3(spark, sf_dir, made.read(2))),
+        ("MERGE", lambda: _v4(spark, sf_dir, made.read(3))),
+    )
+    for operation, snapshot in steps[: newest + 1]:
+        made.commit(snapshot(), operation)
+    return made
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five snapshots, written once and partitioned by version."""
-    parts = [versions.with_version(s, i) for i, s in enumerate(_snapshots(spark, sf_dir))]
-    path = workspace(spark, "customer-history")
-    write_partitioned(reduce(DataFrame.unionByName, parts), path, [versions.VERSION])
-    return spark.read.parquet(path)
+    return _table(spark, sf_dir).history()
 
 
 @query("update_where", VERSIONS_SQL + "SELECT * FROM v1")
@@ -107,12 +102,12 @@ def _delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("merge_insert_only", VERSIONS_SQL + "SELECT * FROM v3")
 def _insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshots(spark, sf_dir)[3]
+    return _v3(spark, sf_dir, _table(spark, sf_dir, newest=2).read(2))
 
 
 @query("merge_upsert", VERSIONS_SQL + "SELECT * FROM v4")
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshots(spark, sf_dir)[4]
+    return _v4(spark, sf_dir, _table(spark, sf_dir, newest=3).read(3))
 
 
 @query(
@@ -131,7 +126,7 @@ def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("read_version", VERSIONS_SQL + "SELECT * FROM v2")
 def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.read_version(_history(spark, sf_dir), 2)
+    return versions.read_version(_table(spark, sf_dir, newest=3).history(), 2)
 
 
 RESTORED_SQL = VERSIONS_SQL + """,
@@ -141,7 +136,7 @@ RESTORED_SQL = VERSIONS_SQL + """,
 
 @query("restore_version", RESTORED_SQL + "SELECT * FROM restored")
 def _restore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.restore_version(_history(spark, sf_dir), 2, newest=4)
+    return versions.restore_version(_history(spark, sf_dir), 2)
 
 
 @query(
@@ -161,13 +156,13 @@ def _restore(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(*) FILTER (change = 'updated') AS updated,
            count(*) FILTER (change = 'deleted') AS deleted
     FROM pairs JOIN (VALUES (0, 'WRITE'), (1, 'UPDATE'), (2, 'DELETE'), (3, 'MERGE'), (4, 'MERGE'),
-                            (5, 'WRITE')) c(version, operation) USING (version)
+                            (5, 'RESTORE')) c(version, operation) USING (version)
     GROUP BY version, operation""",
 )
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    restored = versions.restore_version(_history(spark, sf_dir), 2, newest=4)
-    commits = rows_to_frame(spark, COMMITS, "version INT, operation STRING")
-    return versions.version_history(restored, commits, KEY)
+    made = _table(spark, sf_dir)
+    made.restore(2)
+    return versions.version_history(made.history(), made.commits(), KEY)
 
 
 @query(
@@ -179,8 +174,8 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
          FROM v0 JOIN v1 USING (c_custkey)""",
 )
 def _log_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    commits = rows_to_frame(spark, COMMITS[:5], "version INT, operation STRING")
-    log = versions.version_history(_history(spark, sf_dir), commits, KEY)
+    made = _table(spark, sf_dir)
+    log = versions.version_history(made.history(), made.commits(), KEY)
     return log.filter(F.col("operation") == "UPDATE")
 
 

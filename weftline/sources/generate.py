@@ -23,9 +23,10 @@ def id_range(spark: SparkSession, n: int, parts: int | None = None) -> DataFrame
     return spark.range(0, n, 1, parts)
 
 
-def _uniform(*keys: Column) -> Column:
-    """A number in [0, 1) that depends on the row alone, so a retried task repeats it."""
-    return F.pmod(F.xxhash64(F.lit(SEED), *keys), F.lit(1_000_000_007)) / F.lit(1_000_000_007)
+def _uniform(key: Column, name: str) -> Column:
+    """A number in [0, 1) from md5 digits of the row's key, so a retried task repeats it."""
+    digits = F.substring(F.md5(F.concat_ws("-", F.lit(str(SEED)), key.cast("string"), F.lit(name))), 1, 12)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
 def gen_transactions(ids: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def gen_transactions(ids: DataFrame) -> DataFrame:
     key = F.col("id")
     return ids.select(
         key,
-        F.round(_uniform(key, F.lit("amount")) * MAX_AMOUNT, 2).alias("amount"),
+        (F.floor(_uniform(key, "amount") * (MAX_AMOUNT * 100) + 0.5) / 100).alias("amount"),
         (key % COUNTRY_COUNT).alias("country_id"),
         (key % STORE_COUNT).alias("store_id"),
     )
@@ -44,7 +45,7 @@ def gen_stores(ids: DataFrame) -> DataFrame:
     key = F.col("id")
     return ids.select(
         key,
-        F.round(_uniform(key, F.lit("employees")) * MAX_EMPLOYEES, 0).alias("employees"),
+        F.floor(_uniform(key, "employees") * MAX_EMPLOYEES + 0.5).cast("double").alias("employees"),
         (key % COUNTRY_COUNT).alias("country_id"),
         F.sha2(F.concat_ws("-", F.lit("store"), key.cast("string")), 256).alias("name"),
     )
@@ -55,7 +56,7 @@ def gen_iot(ids: DataFrame) -> DataFrame:
     key = F.col("id")
     return ids.select(
         F.hash(key).alias("id"),
-        _uniform(key, F.lit("reading")).alias("value"),
+        _uniform(key, "reading").alias("value"),
         F.from_unixtime(key + FIRST_READING).alias("time"),
     )
 

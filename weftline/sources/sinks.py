@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.operators.layout import reused, total_bytes
 from weftline.sources.files import TEXT_TIMES, Schema, scan_json
 
 MB = 1024 * 1024
@@ -48,21 +46,16 @@ def write_data(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_json_sorted(
-    df: DataFrame, path: str, keys: Sequence[str], single_file_bytes: int = 64 * MB
+    df: DataFrame, path: str, keys: Sequence[str], single_file: bool = False
 ) -> None:
-    """A sorted JSON report: one file while the measured size allows it, else sorted parts.
+    """A sorted JSON report: range-sorted files whose names follow the order.
 
-    One file means one task, so the size is measured first.  Above the bound the same rows go
-    out as range-sorted files whose names follow the order.  The rows are computed once and
-    kept on the executors' disks in between.
+    ``single_file`` asks for one file instead, which one task writes; it is for reports that the
+    caller knows to be small, such as one row a group.
     """
-    with reused(df, StorageLevel.DISK_ONLY) as rows:
-        if total_bytes(rows) <= single_file_bytes:
-            # A shuffle into one partition, where coalesce would pull the work before it along.
-            ordered = rows.repartition(1).sortWithinPartitions(*keys)
-        else:
-            ordered = rows.orderBy(*keys)
-        ordered.write.mode("overwrite").options(**TEXT_TIMES).json(path)
+    # A shuffle into one partition, where coalesce would pull the work before it along.
+    ordered = df.repartition(1).sortWithinPartitions(*keys) if single_file else df.orderBy(*keys)
+    ordered.write.mode("overwrite").options(**TEXT_TIMES).json(path)
 
 
 def write_csv_maps(df: DataFrame, path: str) -> None:

@@ -57,7 +57,7 @@ def driver_customers(
 def driver_report(counts: DataFrame, more_than: int = DRIVER_RIDES, **parts) -> DataFrame:
     """Driver windows above the limit with the customers of their rides, one entry per ride.
 
-    Takes the written rows of ``driver_customers``.  A very long list comes in several parts
+    Takes the written rows of ``driver_customers``.  Lists come in parts of ``part_rows`` entries
     (see ``collect_values``).
     """
     keys = ["window_start", "window_end", "driver_id"]
@@ -73,7 +73,7 @@ def driver_report(counts: DataFrame, more_than: int = DRIVER_RIDES, **parts) ->
         keys,
         "customer_id",
         "customer_ids",
+        spread_by=["block", "ride"],
         min_size=more_than + 1,
-        spread_by=["customer_id", "block", "ride"],
         **parts,
     ).withColumnRenamed("size", "ride_count")

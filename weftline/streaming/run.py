@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,34 +21,16 @@ DEFAULTS = {
 }
 
 
-PARTITIONS = "spark.sql.shuffle.partitions"
+def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query; what DEFAULTS names and the session does not set is set once, for good.
 
-
-def state_partitions(spark: SparkSession, input_bytes: int, bytes_each: int = 128 * 1024**2) -> int:
-    """State partitions for a first batch of known size: at least one per core, at most the
-    session's shuffle partitions.  A query keeps the number it was first started with."""
-    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / bytes_each))
-    return min(int(spark.conf.get(PARTITIONS)), wanted)
-
-
-def start(
-    writer: DataStreamWriter, spark: SparkSession, partitions: int | None = None
-) -> StreamingQuery:
-    """Start a query with the defaults; it keeps them, the session does not."""
-    values = {name: v for name, v in DEFAULTS.items() if spark.conf.get(name, None) is None}
-    if partitions is not None:
-        values[PARTITIONS] = str(partitions)
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
-    try:
-        return writer.start()
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+    The settings concern streams only, so batch queries planned meanwhile are not touched.  The
+    session's shuffle partitions become the query's state partitions and stay in its checkpoint.
+    """
+    for name, value in DEFAULTS.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+    return writer.start()
 
 
 def table_writer(
@@ -107,17 +88,15 @@ def drain(query: StreamingQuery) -> None:
         query.stop()
 
 
-def append_available(
-    stream: DataFrame, path: str, checkpoint: str | None = None, partitions: int | None = None
-) -> None:
+def append_available(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
     """Process everything that is there now and append the results to files at ``path``."""
     writer = table_writer(stream, path, checkpoint).trigger(availableNow=True)
-    drain(start(writer, stream.sparkSession, partitions))
+    drain(start(writer, stream.sparkSession))
 
 
-def run_to_table(stream: DataFrame, purpose: str, partitions: int | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """``append_available`` to a new folder of the workspace, and the written table."""
     spark = stream.sparkSession
     path = workspace(spark, purpose)
-    append_available(stream, path, partitions=partitions)
+    append_available(stream, path)
     return spark.read.schema(stream.schema).parquet(path)
