@@ -77,7 +77,7 @@ def bitmap(shingles: np.ndarray) -> list[int]:
 
 
 def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Rows of documents (key, n, high, low) and, apart, of each task's counters (slice, counts).
+    """Rows of documents (key, n, high, low, bits) and, apart, of each task's counters (slice, counts).
 
     A task counts to 255, which is as common as a shingle of its few documents needs to look.
     """
@@ -101,10 +101,11 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([h[0] for h in hashes], pa.int64()),
                     pa.array([h[1] for h in hashes], pa.int64()),
+                    pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                names=["key", "n", "high", "low", "slice", "counts"],
+                names=["key", "n", "high", "low", "bits", "slice", "counts"],
             )
         for number, part in enumerate(np.split(counts, SLICES) if kind is not None else ()):
             if part.any():
@@ -112,13 +113,15 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                     [
                         pa.nulls(1, kind),
                         *(pa.nulls(1, pa.int64()) for _ in range(3)),
+                        pa.nulls(1, pa.list_(pa.int64())),
                         pa.array([number], pa.int32()),
                         pa.array([zlib.compress(part, 1)], pa.binary()),
                     ],
-                    names=["key", "n", "high", "low", "slice", "counts"],
+                    names=["key", "n", "high", "low", "bits", "slice", "counts"],
                 )
 
-    return df.mapInArrow(scan, f"{schema}, n long, high long, low long, slice int, counts binary")
+    columns = "n long, high long, low long, bits array<bigint>, slice int, counts binary"
+    return df.mapInArrow(scan, f"{schema}, {columns}")
 
 
 def _rarity(counted: DataFrame) -> np.ndarray:
@@ -237,7 +240,7 @@ def _filter_place(high: np.ndarray) -> np.ndarray:
 
 
 def _read_sets(rows: DataFrame, wanted, width: int) -> DataFrame:
-    """``high, low, shingles, bits, n`` of the documents that pass the filter, equal ones once a task."""
+    """``high, low, shingles`` of the documents that pass the filter, equal ones once a task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap_of, seen = wanted.value, set()
@@ -258,14 +261,11 @@ def _read_sets(rows: DataFrame, wanted, width: int) -> DataFrame:
                         pa.array(high, pa.int64()),
                         pa.array(low, pa.int64()),
                         pa.array([s.tobytes() for s in kept], pa.binary()),
-                        pa.array([bitmap(s) for s in kept], pa.list_(pa.int64())),
-                        pa.array([len(s) for s in kept], pa.int64()),
                     ],
-                    names=["high", "low", "shingles", "bits", "n"],
+                    names=["high", "low", "shingles"],
                 )
 
-    schema = "high long, low long, shingles binary, bits array<bigint>, n long"
-    return rows.select("text").mapInArrow(read, schema)
+    return rows.select("text").mapInArrow(read, "high long, low long, shingles binary")
 
 
 def _needed(a, b, percent: int):
@@ -296,8 +296,25 @@ def _group_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return pairs.unionByName(inner.select(F.col("group").alias("g"), F.col("group").alias("h"))).distinct()
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``a, b`` of ``pairs`` whose sets are similar enough."""
+def _may_link(a: str, b: str, percent: int):
+    """Whether bitmaps and sizes (columns ``bits``, ``n`` with suffixes) leave a link possible."""
+    n = F.col(f"n{a}") + F.col(f"n{b}")
+    words = (F.col(f"bits{a}")[i].bitwiseXOR(F.col(f"bits{b}")[i]) for i in range(BITMAP_WORDS))
+    return sum(map(F.bit_count, words), F.lit(0)) * (100 + percent) <= n * (100 - percent)
+
+
+def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
+    """The ``a, b`` of ``pairs`` whose sets are similar enough; the sets are read from the texts anew.
+
+    A filter keeps most texts without a pair from being sent at all.
+    """
+    if pairs.isEmpty():
+        return pairs
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = materialize(classes.select("node", "high", "low").join(ends, "node"), "nodes")
+    wanted = rows.sparkSession.sparkContext.broadcast(_filter(nodes))  # 2 ** FILTER_BITS bits
+    sets = _read_sets(rows, wanted, width).join(nodes, ["high", "low"])
+    sets = materialize(sets.select("node", "shingles").dropDuplicates(["node"]), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,7 +328,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     schema = pairs.select("a", "b").schema.simpleString()[7:-1]
-    return pairs.join(one, "a").join(two, "b").mapInArrow(verify, schema)
+    return materialize(pairs.join(two, "b").join(one, "a").mapInArrow(verify, schema), "links")
 
 
 def similar_components(
@@ -329,8 +346,10 @@ def similar_components(
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     counted = materialize(_counted(rows, "key", width), "shingles")
     rarity = spark.sparkContext.broadcast(_rarity(counted))  # 2 ** COUNTER_BITS bytes
-    documents = counted.where("slice IS NULL").select("key", "n", "high", "low")
-    classes = documents.where("n > 0").groupBy("high", "low").agg(F.min("key").alias("node"))
+    documents = counted.where("slice IS NULL").select("key", "n", "high", "low", "bits")
+    classes = documents.where("n > 0").groupBy("high", "low").agg(
+        F.min("key").alias("node"), F.first("bits").alias("bits")
+    )
     classes = materialize(classes, "classes")
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -339,67 +358,67 @@ def similar_components(
     prefixes = shared.groupBy("high", "low", "n").agg(F.sort_array(F.collect_list(entry)).alias("prefix"))
     group_id = F.md5(F.concat_ws(",", F.col("n"), F.to_json("prefix")))
     prefixes = prefixes.join(classes, ["high", "low"]).withColumn("group", group_id)
-    members = prefixes.select("node", "high", "low", "group", "n", "prefix")
-    members = materialize(members, "members")
+    members = materialize(prefixes.select("node", "group", "n", "prefix", "bits"), "members")
     groups = members.groupBy("group").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("members"),
-        F.min("node").alias("leader"),
+        F.min(F.struct("node", "n", "bits")).alias("leader"),
     )
     groups = materialize(groups, "groups")
     pairs = materialize(_group_pairs(groups, percent), "group-pairs")
 
-    # the sets of all members of paired groups; a filter keeps most others from being sent at all
-    paired = pairs.select(F.explode(F.array("g", "h")).alias("group")).distinct()
-    nodes = materialize(members.join(paired, "group").select("node", "high", "low", "group"), "nodes")
-    wanted = spark.sparkContext.broadcast(_filter(nodes))  # 2 ** FILTER_BITS bits
-    sets = _read_sets(rows, wanted, width).dropDuplicates(["high", "low"])
-    sets = materialize(sets.join(nodes.select("node", "high", "low"), ["high", "low"]).drop("high", "low"), "sets")
-
     # first round: every member of a pair of groups against the smallest of them all
-    leaders = groups.select(F.col("group"), "leader")
+    leaders = groups.select("group", "leader")
     led = (
         pairs.join(leaders.withColumnsRenamed({"group": "g", "leader": "leader_g"}), "g")
         .join(leaders.withColumnsRenamed({"group": "h", "leader": "leader_h"}), "h")
-        .select("g", "h", F.least("leader_g", "leader_h").alias("a"))
+        .select("g", "h", F.least("leader_g", "leader_h").alias("leader"))
+    )
+    sides = led.select(F.col("g").alias("group"), "leader").unionByName(
+        led.select(F.col("h").alias("group"), "leader")
     )
-    sides = led.select(F.col("g").alias("group"), "a").unionByName(led.select(F.col("h").alias("group"), "a"))
-    to_leader = nodes.select(F.col("node").alias("b"), "group").join(sides, "group").where("a <> b").select("a", "b")
-    links = materialize(_links(to_leader.distinct(), sets, percent), "links")
+    sides = sides.select("group", *(F.col(f"leader.{c}").alias(f"{c}_a") for c in ("node", "n", "bits")))
+    nodes = members.select("group", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "bits")))
+    to_leader = (
+        nodes.join(sides.distinct(), "group")
+        .where((F.col("node_a") != F.col("node_b")) & _may_link("_a", "_b", percent))
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    )
+    links = _links(materialize(to_leader.distinct(), "pairs"), rows, classes, percent, width)
     labels = components(links)
 
     # second round: members of different components, where the bitmaps leave a link possible
-    named = nodes.select("node", "group").join(labels, "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    spans = named.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    named = members.select("node", "group", "n", "bits").join(labels, "node", "left")
+    named = materialize(named.withColumn("component", F.coalesce("component", "node")), "named")
+    spans = named.groupBy("group").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")
+    )
     open_pairs = (
-        pairs.join(spans.select(F.col("group").alias("g"), F.col("low").alias("g1"), F.col("high").alias("g2")), "g")
-        .join(spans.select(F.col("group").alias("h"), F.col("low").alias("h1"), F.col("high").alias("h2")), "h")
-        .where("NOT (g1 = g2 AND h1 = h2 AND g1 = h1)")
-        .join(groups.select(F.col("group").alias("g"), F.col("members").alias("m_g")), "g")
-        .join(groups.select(F.col("group").alias("h"), F.col("members").alias("m_h")), "h")
-        .where("m_g + m_h > 2")  # two single members have met in the first round
+        pairs.join(spans.select(F.col("group").alias("g"), *(F.col(c).alias(f"{c}_g") for c in ("low", "high", "many"))), "g")
+        .join(spans.select(F.col("group").alias("h"), *(F.col(c).alias(f"{c}_h") for c in ("low", "high", "many"))), "h")
+        .where("NOT (low_g = high_g AND low_h = high_h AND low_g = low_h)")
+        .where("many_g + many_h > 2")  # two single members have met in the first round
         .select("g", "h")
     )
-    drawn = materialize(named.join(sets.select("node", "bits", "n"), "node"), "named")
-    left = drawn.select(F.col("group").alias("g"), *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "bits", "n")))
-    right = drawn.select(F.col("group").alias("h"), *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "bits", "n")))
-    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
-    left = open_pairs.join(left, "g")
+    columns = ("node", "component", "bits", "n")
+    left = open_pairs.join(named.select(F.col("group").alias("g"), *(F.col(c).alias(f"{c}_a") for c in columns)), "g")
+    right = named.select(F.col("group").alias("h"), *(F.col(c).alias(f"{c}_b") for c in columns))
     candidates = left.join(
         right,
         (left["h"] == right["h"])
         & (F.col("component_a") != F.col("component_b"))
         & (F.col("node_a") != F.col("node_b"))
         & ((F.col("g") != left["h"]) | (F.col("node_a") < F.col("node_b")))
-        & (differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)),
+        & _may_link("_a", "_b", percent),
     ).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    more = _links(candidates.distinct(), sets, percent)
-    labels = components(materialize(links.unionByName(more), "links"))
+    more = _links(materialize(candidates.distinct(), "pairs"), rows, classes, percent, width)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
 
     named = classes.join(labels, "node", "left").select(
         "high", "low", F.coalesce("component", "node").alias("class_component")
     )
     named = materialize(named, "class-components")
+    documents = documents.drop("bits")
     alone = documents.where("n = 0").withColumn("class_component", F.col("key"))
     linked = documents.where("n > 0").join(named, ["high", "low"])
     return alone.unionByName(linked).select(
