@@ -18,6 +18,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.workspace import materialize
+
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
 
@@ -82,7 +84,7 @@ def token_counts(
     Texts of up to ``chunk`` characters are encoded whole.  Longer ones become rows of (text hash,
     chunk number, chunk and next chunk), spread over tasks and once for equal texts; their counts
     are added up by text hash.  Null and empty texts have 0 bytes and 0 tokens; repeated rows are
-    all returned; other columns are not read.
+    all returned; other columns are not read.  The counts of long texts are made at once, by a job.
     """
     path = model_path or public_tokenizers.path("piece_bpe_32k.model")
     rows = df.select(
@@ -127,6 +129,7 @@ def token_counts(
     )
     counted = chunks.mapInPandas(count_chunks, "hash string, number int, n long")
     added = counted.groupBy("hash").agg(F.sum("n").alias("n_tokens"), F.min("n").alias("least"))
+    added = materialize(added, "huge-texts")  # read twice below, and all that was encoded for it
     spliced = huge.select("key", "n_bytes", "hash").join(added, "hash")
     unspliced = spliced.where("least < 0").select("hash").distinct()
     whole = (

@@ -247,7 +247,9 @@ def read_archives(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK_B
     )
     folder = workspace(spark, "warc")
     manifest_uri = folder if ":" in folder else f"file://{folder}"
-    paths = manifest.select("path").repartition("path")
+    # one task a file, as far as there are partitions: a fixed number, which is not merged again
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = manifest.select("path").repartition(files, "path")
     return paths.mapInArrow(read, f"{RECORD}, number int, data binary, sha1 string")
 
 
