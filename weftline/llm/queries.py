@@ -14,6 +14,7 @@ from weftline.llm import (
     line_crf,
     prefix_join,
     repeats,
+    sql,
     token_counts,
     warc,
 )
@@ -43,7 +44,7 @@ def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
-@query("op4_run_index")
+@query("op4_run_index", sql.REPEATS)
 def op4_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.remove_repeats(docs).drop("text")
@@ -55,7 +56,7 @@ def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text", "content_share")
 
 
-@query("op5_fm_index")
+@query("op5_fm_index", sql.CONTAMINATION)
 def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = fm_index.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -75,7 +76,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-@query("op7_warc")
+@query("op7_warc", sql.ARCHIVES)
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest, records = warc.write_archives(pages, min_bytes=0)
@@ -91,24 +92,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("record_id", "page_id").join(read, "record_id").drop("record_id")
 
 
-@query("op9_prefix_join")
+@query("op9_prefix_join", sql.SIMILAR)
 def op9_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_join.similar_components(table(spark, sf_dir, "documents"))
 
 
-def _crc32_sql(text: str) -> str:
-    """CRC-32 of a text's UTF-8 bytes, by the table of its reflected polynomial."""
-    codes = []
-    for code in range(256):
-        for _ in range(8):
-            code = (code >> 1) ^ (0xEDB88320 if code & 1 else 0)
-        codes.append(code)
-    data = f"regexp_extract_all(hex(encode(coalesce({text}, ''))), '..')"
-    data = f"list_transform({data}, lambda x: ('0x' || x)::BIGINT)"
-    step = f"xor(c >> 8, ({codes}::BIGINT[])[(xor(c, b) & 255) + 1])"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295)"
-
-
 _NOW, _GROWN = hash_tree.shard_tree(SHARDS), hash_tree.shard_tree(SHARDS + 1)
 
 
@@ -117,7 +105,7 @@ _NOW, _GROWN = hash_tree.shard_tree(SHARDS), hash_tree.shard_tree(SHARDS + 1)
     f"""
     WITH d AS (
       SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 1 AS size,
-             {_crc32_sql("text")}::BIGINT AS text_crc32,
+             {sql.crc32("text")}::BIGINT AS text_crc32,
              ({hash_tree.place_sql("doc_id", _NOW)})::INTEGER AS shard,
              ({hash_tree.place_sql("doc_id", _GROWN)})::INTEGER AS grown_shard,
              ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':slot'), 1, 3))::INTEGER AS slots
