@@ -33,6 +33,7 @@ SLICES = 256
 FILTER_BITS = 25  # bits of the filter of sets to read: 4 MB
 PERCENT = 90
 WORDS = 3
+CELL_ROWS = 500  # sets that are compared with one set in one place, about
 BITMAP_WORDS = 4  # 64-bit words of a set's bitmap
 
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
@@ -306,29 +307,49 @@ def _may_link(a: str, b: str, percent: int):
 def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
     """The ``a, b`` of ``pairs`` whose sets are similar enough; the sets are read from the texts anew.
 
-    A filter keeps most texts without a pair from being sent at all.
+    A filter keeps most texts without a pair from being sent at all.  Sets travel to the cell of the
+    set they are compared with; a set with very many others has several cells.
     """
     if pairs.isEmpty():
         return pairs
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     nodes = materialize(classes.select("node", "high", "low").join(ends, "node"), "nodes")
     wanted = rows.sparkSession.sparkContext.broadcast(_filter(nodes))  # 2 ** FILTER_BITS bits
-    sets = _read_sets(rows, wanted, width).join(nodes, ["high", "low"])
-    sets = materialize(sets.select("node", "shingles").dropDuplicates(["node"]), "sets")
+    # a cell is a set (role 0) with a part of those it is compared with (role 1)
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    compared = pairs.join(parts, "a").select("a", part.alias("part"), F.col("b").alias("node"), F.lit(1).alias("role"))
+    numbers = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    with_all = parts.select("a", numbers.alias("part"), F.col("a").alias("node"), F.lit(0).alias("role"))
+    roles = compared.unionByName(with_all).join(nodes, "node")
+    sets = _read_sets(rows, wanted, width).dropDuplicates(["high", "low"])
+    cells = (
+        sets.join(roles, ["high", "low"])
+        .select("a", "part", "role", "node", "shingles")
+        .repartition("a", "part")
+        .sortWithinPartitions("a", "part", "role")
+    )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, one = None, None
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+            columns = (batch.column(c).to_pylist() for c in ("a", "part", "role", "shingles"))
+            for a, part, role, shingles in zip(*columns, strict=True):
+                other = np.frombuffer(shingles, np.uint64)
+                if role == 0:
+                    cell, one = (a, part), other
+                    keep.append(False)
+                    continue
+                if cell != (a, part):
+                    raise ValueError("a cell has lost the set to compare with")
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(100 * both >= percent * (len(one) + len(other) - both))
+            linked = batch.select(["a", "node"]).filter(pa.array(keep, pa.bool_()))
+            yield linked.rename_columns(["a", "b"])
+
     schema = pairs.select("a", "b").schema.simpleString()[7:-1]
-    return materialize(pairs.join(two, "b").join(one, "a").mapInArrow(verify, schema), "links")
+    return materialize(cells.mapInArrow(verify, schema), "links")
 
 
 def similar_components(
