@@ -42,6 +42,24 @@ def test_near_copies_that_link_only_through_others(spark, counted):
     assert counted(prefix_join.similar_components(docs), "doc_id", "n_shingles", "component_id") == brute.similar(rows)
 
 
+def test_rows_link_by_their_sets_not_by_their_keys(spark, counted):
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    one, two, bridge = prose(120), prose(120), prose(120).split()
+    ends = [" ".join(w[:6] + bridge[6:]) for w in (["x"] * 6, ["y"] * 6)]  # similar to the bridge only
+    rows = [(5, one), (5, two), (7, one + " end"), (8, two + " end"), (5, prose(50))]
+    rows += [(20, ends[0]), (None, " ".join(bridge)), (21, ends[1]), (None, prose(60)), (None, prose(60) + " " + one)]
+    for key in range(30, 36):  # one key with many texts, each with a near copy
+        text = prose(90)
+        rows += [(5, text), (key, text + " more")]
+    assert brute.similar(rows)[(21, brute.similar([(21, ends[1])]).most_common(1)[0][0][1], 20)] == 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert counted(prefix_join.similar_components(docs), "doc_id", "n_shingles", "component_id") == brute.similar(rows)
+
+
 def test_bitmaps_never_exclude_a_link():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))

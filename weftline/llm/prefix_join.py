@@ -5,7 +5,8 @@ of their first ``n - ceil(t n) + 1``.  Rare shingles come first in the order, so
 one; how rare a shingle is, is read from a table of hashed counts over all documents.  The table has
 a fixed size; a shared counter only makes a shingle look more common, and any order is exact.
 
-1. Documents with equal sets become one class, whose id is a 128-bit hash of the set.
+1. Documents with equal sets become one class, whose id is a 128-bit hash of the set.  Links join
+   classes, never keys: a key may have several sets or be null.  Components get their keys last.
 2. Shingles that only one class has in its prefix can link nothing and are dropped from prefixes.
 3. Classes with equal size and equal remaining prefix become a group.  Groups are paired by their
    prefixes and filtered by size and by place in the prefix, once for all their members.
@@ -369,9 +370,10 @@ def similar_components(
     rarity = spark.sparkContext.broadcast(_rarity(counted))  # 2 ** COUNTER_BITS bytes
     documents = counted.where("slice IS NULL").select("key", "n", "high", "low", "bits")
     classes = documents.where("n > 0").groupBy("high", "low").agg(
-        F.min("key").alias("node"), F.first("bits").alias("bits")
+        F.min("key").alias("key"), F.first("bits").alias("bits")
     )
-    classes = materialize(classes, "classes")
+    # the number stands for (high, low) from here on; it is written once, so all later jobs read the same
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = _shared_prefixes(rows, rarity, width, percent, buckets)
@@ -435,8 +437,10 @@ def similar_components(
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    named = classes.join(labels, "node", "left").select(
-        "high", "low", F.coalesce("component", "node").alias("class_component")
+    least = labels.join(classes.select("node", "key"), "node").groupBy("component").agg(F.min("key").alias("least"))
+    least = materialize(least, "component-keys")
+    named = classes.join(labels.join(least, "component").select("node", "least"), "node", "left").select(
+        "high", "low", F.coalesce("least", "key").alias("class_component")
     )
     named = materialize(named, "class-components")
     documents = documents.drop("bits")
