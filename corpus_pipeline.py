@@ -27,14 +27,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by 5-word shingles and a similarity of 0.8, the smallest id.
+    """Of each group of rows linked by 5-word shingles and a similarity of 0.8, the smallest id.
 
-    Rows without an id are kept; of equal rows with one id one stays.
+    Rows of one id are judged by their texts: different ones all stay, unless they are linked; of
+    linked ones the smallest digest of the row stays.  Rows without an id are kept, of equal rows
+    with one id one.
     """
-    similar = prefix_join.similar_components(docs, percent=NEAR_PERCENT, width=NEAR_WORDS)
-    first = materialize(similar.where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    digest = F.unhex(F.md5(F.to_json(F.struct(F.md5("text").alias("text"), *others))))
+    rows = docs.where("doc_id IS NOT NULL").withColumn("__digest", digest)
+    keyed = docs.withColumn("__row", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", digest.alias("__digest"))))
+    similar = prefix_join.similar_components(keyed, key="__row", percent=NEAR_PERCENT, width=NEAR_WORDS)
+    first = similar.where("__row = component_id").select("__row.*").distinct()
+    first = materialize(first, "kept-rows")
+    kept = rows.join(first, ["doc_id", "__digest"], "left_semi").dropDuplicates(["doc_id", "__digest"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

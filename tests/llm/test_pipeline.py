@@ -86,3 +86,27 @@ def test_clean_documents_pass_and_planted_ones_do_not(spark):
     assert all(kept[k] == t for k, t in rows if k in kept and k != 401)
     assert passage in kept[400] and passage not in kept[401]
     assert {r.doc_id for r in corpus_pipeline.run(spark, root).collect()} == set(kept)
+
+
+def test_near_duplicates_of_one_id_go_only_when_linked(spark):
+    import random
+
+    rng = random.Random(4)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    a, b, c, d = (prose(100) for _ in range(4))
+    rows = [(5, a, "en"), (5, b, "en"), (5, b, "en"), (5, b, "de"), (5, b + " end", "en")]
+    rows += [(3, "start " + a, "en"), (5, c, None), (9, c + " end", "en"), (None, d, "en"), (None, d, "en")]
+    rows += [(7, "", "en"), (7, "", "en"), (7, None, "en"), (7, " ", "en"), (8, "", "en")]
+    schema = "doc_id long, text string, lang string"
+    found = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, schema), "")
+    assert found.columns == ["doc_id", "text", "lang"]
+    left = Counter(tuple(r) for r in found.collect())
+    of_b = [r for r in left if r[1] and r[1].startswith(b)]
+    assert len(of_b) == 1 and left.pop(of_b[0]) == 1
+    blank = [(7, "", "en"), (7, None, "en"), (7, " ", "en"), (8, "", "en")]
+    assert left == Counter([rows[5], (5, c, None), rows[8], rows[9], *blank])
+    again = spark.createDataFrame(rows[::-1], schema).repartition(5)
+    assert of_b[0] in {tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, again, "").collect()}
