@@ -155,3 +155,15 @@ def test_estimates_do_not_hide_unique_columns(spark):
 def test_exact_profiles_need_no_expand(spark, plan):
     df = spark.range(10).selectExpr("id", "id % 3 AS k", "CAST(id AS STRING) AS s")
     assert "Expand" not in plan(quality.column_profile(df, exact=True))
+
+
+@pytest.mark.parametrize("error", [0.7, 1.4])
+def test_suggestions_hold_when_estimates_are_far_off(spark, rows, monkeypatch, error):
+    df = spark.range(1000).selectExpr("id", "id % 25 AS code", "id % 26 AS many", "id % 999 AS almost")
+    want = rows(quality.suggest_constraints(df, exact=True))
+    assert ("id", "unique") in want and ("code", "categorical") in want
+    estimate = quality.F.approx_count_distinct
+    monkeypatch.setattr(quality.F, "approx_count_distinct", lambda c: (quality.F.count_distinct(c) * error).cast("long"))
+    found = rows(quality.suggest_constraints(df))
+    monkeypatch.setattr(quality.F, "approx_count_distinct", estimate)
+    assert found == want

@@ -207,12 +207,12 @@ def suggest_constraints(df: DataFrame, exact: bool = False) -> DataFrame:
     """Constraints that the profile supports, as (column_name, suggestion) rows.
 
     By default distinct values are estimated: columns whose estimate leaves "unique" or
-    "categorical" open (within three standard deviations) are then counted, each by a group
+    "categorical" open (within ten standard deviations) are then counted, each by a group
     count of its own.  The estimates are read first, one row for each column.
     """
     profile = _profile(df, exact)
     if not exact:
-        near = 3 * RSD
+        near = 10 * RSD  # the count decides, so a wide margin costs time only and a miss is negligible
         n, d = F.col("n_rows"), F.col("distinct_values")
         may_be_unique = (F.col("completeness") == 1.0) & (d >= n * (1 - near))
         may_be_category = (d <= CATEGORY_VALUES * (1 + near)) & (d <= n * CATEGORY_RATIO * (1 + near))
