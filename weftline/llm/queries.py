@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from weftline.llm import (
     best_fit,
     byte_cnn,
+    centroids,
     fm_index,
     hash_tree,
     html_crf,
     line_crf,
     prefix_join,
     repeats,
+    secrets,
+    spelling_trie,
     sql,
     token_counts,
     warc,
@@ -129,3 +132,20 @@ def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_crf.extract(pages).drop("html")
+
+
+@query("op11_spelling_trie", sql.SPELLING)
+def op11_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_trie.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_secret_structure")
+def op12_secret_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = ("n_assign", "n_access", "n_hex")
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op13_equal_average", sql.CLUSTERED)
+def op13_equal_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))

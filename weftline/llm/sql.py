@@ -9,6 +9,19 @@ def _words(separators: str) -> str:
     return f"list_filter(string_split_regex({_LOWER}, '[{separators}]+'), lambda w: w <> '')"
 
 
+def crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, by the table of its reflected polynomial."""
+    codes = []
+    for code in range(256):
+        for _ in range(8):
+            code = (code >> 1) ^ (0xEDB88320 if code & 1 else 0)
+        codes.append(code)
+    data = f"regexp_extract_all(hex(encode(coalesce({text}, ''))), '..')"
+    data = f"list_transform({data}, lambda x: ('0x' || x)::BIGINT)"
+    step = f"xor(c >> 8, ({codes}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295)"
+
+
 REPEATS = """
     WITH t AS (
       SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n, hex(encode(coalesce(text, ''))) AS h
@@ -113,14 +126,81 @@ SIMILAR = f"""
 """
 
 
-def crc32(text: str) -> str:
-    """CRC-32 of a text's UTF-8 bytes, by the table of its reflected polynomial."""
-    codes = []
-    for code in range(256):
-        for _ in range(8):
-            code = (code >> 1) ^ (0xEDB88320 if code & 1 else 0)
-        codes.append(code)
-    data = f"regexp_extract_all(hex(encode(coalesce({text}, ''))), '..')"
-    data = f"list_transform({data}, lambda x: ('0x' || x)::BIGINT)"
-    step = f"xor(c >> 8, ({codes}::BIGINT[])[(xor(c, b) & 255) + 1])"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}), 4294967295)"
+# Words one edit apart agree when one letter is left out of one of them (or masked in both), so
+# neighbours meet on those texts.  Five rounds of doubling follow chains of up to 32 forms; a
+# chain has at most 19, as every form is ten times as frequent as its word.
+SPELLING = f"""
+    WITH runs AS (
+      SELECT doc_id, run, count(*) AS n, {crc32("(doc_id::VARCHAR || ':' || run)")}::BIGINT AS h
+      FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+      WHERE length(run) >= 7 GROUP BY doc_id, run),
+    cut AS (
+      SELECT n, CASE WHEN h % 31 = 0
+                     THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2)
+                     ELSE run END AS word FROM runs),
+    v AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7
+          GROUP BY word HAVING sum(n) >= 2),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM v),
+    less AS (SELECT DISTINCT word, n, substr(word, 1, p - 1) || substr(word, p + 1) AS key FROM places),
+    masked AS (SELECT word, n, substr(word, 1, p - 1) || '*' || substr(word, p + 1) AS key FROM places),
+    near AS (
+      SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN v b ON a.key = b.word
+      UNION ALL SELECT b.word, a.word, a.n FROM less a JOIN v b ON a.key = b.word
+      UNION ALL SELECT a.word, b.word, b.n FROM masked a JOIN masked b ON a.key = b.key AND a.word <> b.word),
+    best AS (
+      SELECT word, count(*) AS n_near, max(near_n) AS often,
+             min(encode(near)) FILTER (near_n = most) AS first_near
+      FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word),
+    f AS (
+      SELECT word, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN often >= 10 * n THEN decode(first_near) END AS form,
+             CASE WHEN often >= 10 * n THEN often END AS form_n
+      FROM v LEFT JOIN best USING (word)),
+    r0 AS (SELECT word, coalesce(form, word) AS root FROM f),
+    r1 AS (SELECT a.word, b.root FROM r0 a JOIN r0 b ON a.root = b.word),
+    r2 AS (SELECT a.word, b.root FROM r1 a JOIN r1 b ON a.root = b.word),
+    r3 AS (SELECT a.word, b.root FROM r2 a JOIN r2 b ON a.root = b.word),
+    r4 AS (SELECT a.word, b.root FROM r3 a JOIN r3 b ON a.root = b.word),
+    r5 AS (SELECT a.word, b.root FROM r4 a JOIN r4 b ON a.root = b.word)
+    SELECT word, form, root, n, n_near, form_n FROM f JOIN r5 USING (word)
+"""
+
+_FLOOR_MEAN = "((total - ((total % members) + members) % members) // members)::BIGINT"
+
+
+def _clustered(rounds: int) -> str:
+    steps = [
+        "e AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v"
+        " FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64)",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v AS c"
+        " FROM (SELECT v, sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h FROM e ORDER BY h, v LIMIT 16))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"a{i} AS MATERIALIZED (SELECT vec_id, v, unnest(best) FROM (SELECT n, any_value(vec_id) AS vec_id,"
+            f" any_value(v) AS v, min({{'distance': d, 'cluster': cluster}}) AS best FROM (SELECT n, vec_id, v, cluster,"
+            f" list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d"
+            f" FROM (SELECT *, row_number() OVER () AS n FROM e) CROSS JOIN c{i}) GROUP BY n))"
+        )
+        if i < rounds:
+            steps.append(
+                f"m{i} AS (SELECT cluster, list({_FLOOR_MEAN} ORDER BY place) AS c FROM ("
+                f"SELECT cluster, place, sum(x) AS total, count(*) AS members FROM (SELECT cluster,"
+                f" unnest(v) AS x, unnest(range(64)) AS place FROM a{i}) GROUP BY cluster, place) GROUP BY cluster)"
+            )
+            steps.append(
+                f"c{i + 1} AS MATERIALIZED (SELECT c{i}.cluster, coalesce(m{i}.c, c{i}.c) AS c"
+                f" FROM c{i} LEFT JOIN m{i} USING (cluster))"
+            )
+    last = f"a{rounds}", f"c{rounds}"
+    return f"""
+    WITH {", ".join(steps)}
+    SELECT vec_id, a.cluster::INTEGER AS cluster, distance,
+           (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+           (sum(distance) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM {last[0]} a JOIN {last[1]} USING (cluster)
+    """
+
+
+CLUSTERED = _clustered(3)
