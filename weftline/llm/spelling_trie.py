@@ -6,9 +6,11 @@ says that the word's letters before the position lead to the node with so many e
 the edges level by level; a state that reaches the end of a word of the trie with one edit has
 found a neighbour.
 
-Two words one edit apart share the first half of the word or the second.  So every word is also
-entered backwards, and a state starts at the middle of its word, on the word's own path, where few
-words are left below a node; a walk from the root would try every letter at nodes that all words share.
+Two words one edit apart share the first half of the longer one or the second.  So every word is
+also entered backwards, and a state starts at the middle of its word, on the word's own path, where
+few words are left below a node; a walk from the root would try every letter at nodes that all words
+share.  Being one edit apart is mutual, so states leave a letter out or replace it by a later one,
+and what they find is a neighbour of the word and has the word as its neighbour.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from weftline.llm.buffers import blocks, mix, range_hashes, text_bytes
 from weftline.workspace import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-END = "{"  # closes every path of the trie; the character after z, so that it shares z's bit set
+# What closes the paths of the trie, forwards and backwards: the characters after z, whose bits follow z's.
+ENDS = ("{", "|")
 LEAST_LETTERS = 7
-SIDES = (False, True)  # forwards and backwards
 
 
 def occurrences(df: DataFrame, key: str, text: str, least: int, drop_every: int) -> DataFrame:
@@ -69,17 +71,16 @@ def _latin(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_rows(words: pa.Array, ids: np.ndarray, backwards: bool) -> tuple[np.ndarray, ...]:
-    """(node, depth, id, lo, hi) of every prefix from the middle of its word on.
+    """(node, depth, path, lo, hi) of every prefix from the middle of its word on.
 
-    ``lo`` and ``hi`` have the bit of the letter that follows.  Words that differ by one letter in
-    length must meet, so the rows start where the state of a word one letter shorter does.
+    ``lo`` and ``hi`` have the bit of the letter that follows; ``path`` is twice the id, and one
+    more backwards.
     """
     code, offsets = _latin(words)
     if backwards:
         code, offsets, ids = code[::-1], len(code) - offsets[::-1], ids[::-1]
     size = np.diff(offsets)
-    first = size // 2 if backwards else (size + 1) // 2 - 1
-    first = np.maximum(first, 0)
+    first = (size + 1) // 2 if backwards else size // 2
     rows = size - first + 1
     word = np.repeat(np.arange(len(size)), rows)
     depth = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows) + first[word]
@@ -87,27 +88,26 @@ def prefix_rows(words: pa.Array, ids: np.ndarray, backwards: bool) -> tuple[np.n
     node = range_hashes(code, start, start + depth)
     node = mix(node ^ np.uint64(0x9E3779B97F4A7C15)) if backwards else node
     ended = depth == size[word]
-    letter = np.where(ended, ord(END), np.r_[code, 0][start + depth]).astype(np.uint64)
+    letter = np.where(ended, ord(ENDS[backwards]), np.r_[code, 0][start + depth]).astype(np.uint64)
     one = np.uint64(1)
     plain = letter < 128
     lo = np.where(plain, one << ((letter - np.uint64(97)) & np.uint64(63)), 0).astype(np.uint64)
     hi = np.where(plain, 0, one << ((letter - np.uint64(192)) & np.uint64(63))).astype(np.uint64)
-    return node.view(np.int64), depth.astype(np.int32), ids[word], lo.view(np.int64), hi.view(np.int64)
+    path = 2 * ids[word] + backwards
+    return node.view(np.int64), depth.astype(np.int32), path, lo.view(np.int64), hi.view(np.int64)
 
 
 def _prefixes(words: DataFrame) -> DataFrame:
-    names = ["node", "depth", "id", "lo", "hi", "back"]
+    names = ["node", "depth", "path", "lo", "hi"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "word", 1 << 16):
             ids = np.asarray(batch.column("id"))
-            for back in SIDES:
-                rows = prefix_rows(batch.column("word"), ids, back)
-                sides = pa.array(np.full(len(rows[0]), back))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, rows), sides], names=names)
+            for backwards in (False, True):
+                rows = prefix_rows(batch.column("word"), ids, backwards)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, rows)], names=names)
 
-    schema = "node long, depth int, id long, lo long, hi long, back boolean"
-    return words.select("word", "id").mapInArrow(emit, schema)
+    return words.select("word", "id").mapInArrow(emit, "node long, depth int, path long, lo long, hi long")
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -115,8 +115,8 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A node branches if its prefixes are followed by two letters at least; bit sets of the letters
     are combined before the shuffle, so a prefix that a third of all words share costs a row a task.
-    Both are written tables.  Equal hashes of different prefixes only add edges; what they lead to
-    is compared with the word itself in the end.
+    Both are written tables.  The last edge of a word has a second hash, of the whole path, as ``lo``: prefixes of equal hashes
+    share a node, and a state that came by another prefix than its word's is told apart by it.
     """
     prefixes = _prefixes(words)
     branching = (
@@ -125,26 +125,29 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where(F.bit_count("lo") + F.bit_count("hi") > 1)
     )
     stops = (
-        prefixes.select("node", "depth", "id", "back")
+        prefixes.select("node", "depth", "path")
         .join(branching, "node")
-        .groupBy("id", "back")
+        .groupBy("path")
         .agg(F.sort_array(F.collect_list(F.struct("depth", "node", "lo", "hi"))).alias("stops"))
+        .select(F.shiftright("path", 1).alias("id"), (F.col("path") % 2 == 1).alias("back"), "stops")
     )
-    spelt = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
-    paths = stops.join(words, "id").select("id", "back", F.concat(spelt, F.lit(END)).alias("path"), "n", "stops")
-    paths = materialize(paths, "trie-paths")
+    spelt = F.when(F.col("back"), F.concat(F.reverse("word"), F.lit(ENDS[1]))).otherwise(
+        F.concat("word", F.lit(ENDS[0]))
+    )
+    paths = materialize(stops.join(words, "id").select(spelt.alias("path"), "n", "stops"), "trie-paths")
     edge = F.expr(
         "explode(transform(stops, (s, i) -> named_struct('node', s.node, 'label', substring(path, s.depth + 1, "
         "coalesce(get(stops, i + 1).depth, length(path)) - s.depth), 'child', get(stops, i + 1).node, "
         "'lo', get(stops, i + 1).lo, 'hi', get(stops, i + 1).hi)))"
     )
-    ends = F.col("edge.child").isNull()
     edges = (
-        paths.select(edge.alias("edge"), "path", "n")
+        paths.select(edge.alias("edge"), F.xxhash64("path").alias("whole"), "n")
         .select(
-            "edge.*", F.when(ends, F.col("path")).alias("near"), F.when(ends, F.col("n")).alias("near_n")
+            *[f"edge.{c}" for c in ("node", "label", "child", "hi")],
+            F.coalesce("edge.lo", "whole").alias("lo"),
+            F.when(F.col("edge.child").isNull(), F.col("n")).alias("near_n"),
         )
-        .dropDuplicates(["node", "label", "child", "near"])
+        .dropDuplicates(["node", "label", "child", "lo"])
         .withColumn("letter", F.substring("label", 1, 1))
     )
     return paths, materialize(edges, "trie-edges")
@@ -158,18 +161,15 @@ def _rest(text: str, place: Column) -> Column:
     return F.substring(text, place + 1, F.char_length(text))
 
 
-STATE = ("id", "back", "path", "position", "node", "near", "near_n")
-
-
 def _kept(reached: DataFrame) -> DataFrame:
-    """States whose node has an edge for the next letter, and ends of words."""
-    code = F.ascii(_letter("path", F.col("position")))
+    """States at the end of a word, and those whose node has an edge for the next letter."""
+    code = F.ascii(_letter("near", F.col("position")))
     has = F.expr("CASE WHEN code < 128 THEN bit_get(lo, code - 97) ELSE bit_get(hi, code - 192) END")
-    going = F.when(F.col("near").isNull(), code).otherwise(F.lit(97))
+    ended = F.col("near_n").isNotNull()
     return (
-        reached.withColumn("code", going)
-        .where(F.col("near").isNotNull() | (has == 1))
-        .select(*STATE)
+        reached.withColumn("code", F.when(ended, F.lit(97)).otherwise(code))
+        .where(F.when(ended, F.col("lo") == F.xxhash64("near")).otherwise(has == 1))
+        .select("path", "n", "near", "position", "node", "near_n")
     )
 
 
@@ -177,46 +177,50 @@ def _first_edits(paths: DataFrame, edges: DataFrame) -> DataFrame:
     """States after the edit: those without one are the nodes of the word's own path.
 
     The edit stands where the word and its neighbour first differ, so it is made on edges whose
-    first letter is not the word's: replaced, inserted before, or the word's letter left out.
+    first letter is not the word's.  ``near`` is the path with its edit: what is still to be found
+    in the trie, from ``position`` on.
     """
     size = F.char_length("path") - 1
-    middle = F.when(F.col("back"), F.ceil(size / 2)).otherwise(F.floor(size / 2))
+    backwards = F.endswith("path", F.lit(ENDS[1]))
+    middle = F.when(backwards, F.ceil(size / 2)).otherwise(F.floor(size / 2))
     own = (
-        paths.select("id", "back", "path", middle.alias("middle"), F.explode("stops").alias("stop"))
+        paths.select("path", "n", middle.alias("middle"), F.explode("stops").alias("stop"))
         .where(F.col("stop.depth") >= F.col("middle"))
-        .select("id", "back", "path", F.col("stop.depth").alias("at"), F.col("stop.node").alias("node"))
+        .select("path", "n", F.col("stop.depth").alias("at"), F.col("stop.node").alias("node"))
     )
-    at, long = F.col("at"), F.char_length("label")
-    letter, other = _letter("path", at), F.col("letter")
-    rest, tail = _rest("path", at), _rest("path", at + 1)
-    below = _rest("label", F.lit(1))
-    replaced = (other != END) & (letter != END) & F.startswith(tail, below)
-    inserted = (other != END) & F.startswith(rest, below)
-    deleted = (letter != END) & F.startswith(tail, F.col("label"))
-    position = F.array(
-        F.when(replaced, at + long), F.when(inserted, at + long - 1), F.when(deleted, at + long + 1)
+    at, other = F.col("at"), F.col("letter")
+    letter, following = _letter("path", at), _letter("path", at + 1)
+    inside = ~letter.isin(*ENDS)
+    tail = _rest("path", at + 1)
+    replaced = ~other.isin(*ENDS) & (letter < other) & F.startswith(tail, _rest("label", F.lit(1)))
+    deleted = (other == following) & (other != letter) & F.startswith(tail, F.col("label"))
+    met = own.join(edges, (own["node"] == edges["node"]) & inside & (replaced | deleted))
+    start = F.substring("path", F.lit(1), at)
+    end = at + F.char_length("label")
+    ways = F.array(
+        F.when(replaced, F.struct(F.concat(start, other, tail).alias("near"), end.alias("position"))),
+        F.when(deleted, F.struct(F.concat(start, tail).alias("near"), end.alias("position"))),
     )
-    met = own.join(edges, (own["node"] == edges["node"]) & (letter != other) & (replaced | inserted | deleted))
     reached = met.select(
-        "id", "back", "path", F.explode(position).alias("position"), F.col("child").alias("node"), "lo", "hi", "near", "near_n"
+        "path", "n", F.explode(ways).alias("way"), F.col("child").alias("node"), "lo", "hi", "near_n"
     )
-    return _kept(reached.where(F.col("position").isNotNull()))
+    return _kept(reached.where("way IS NOT NULL").select("path", "n", "way.*", "node", "lo", "hi", "near_n"))
 
 
 def _next_level(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """States after one more edge, which must hold just the word's next letters."""
+    """States after one more edge, which must hold just the next letters."""
     at = F.col("position")
-    ahead = states.select("id", "back", "path", "position", "node", _letter("path", at).alias("letter"))
-    met = ahead.join(edges, ["node", "letter"]).where(F.startswith(_rest("path", at), F.col("label")))
+    ahead = states.select("path", "n", "near", "position", "node", _letter("near", at).alias("letter"))
+    met = ahead.join(edges, ["node", "letter"]).where(F.startswith(_rest("near", at), F.col("label")))
     reached = met.select(
-        "id", "back", "path", (at + F.char_length("label")).alias("position"),
-        F.col("child").alias("node"), "lo", "hi", "near", "near_n",
+        "path", "n", "near", (at + F.char_length("label")).alias("position"),
+        F.col("child").alias("node"), "lo", "hi", "near_n",
     )
     return _kept(reached)
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """(id, near, near_n): the words exactly one inserted, deleted or replaced letter away.
+    """(word, near, near_n): the words exactly one inserted, deleted or replaced letter away.
 
     ``words`` has ``id``, ``word`` (Latin letters without A-Z) and ``n``.  Every level is written,
     and the next one reads it; their number is that of the branching nodes in half a word.
@@ -225,24 +229,28 @@ def neighbours(words: DataFrame) -> DataFrame:
     levels, level = [], _first_edits(paths, edges)
     while True:
         level = materialize(level, "trie-states")
-        levels.append(level.where("near IS NOT NULL"))
-        going = level.where("near IS NULL")
+        levels.append(level.where("near_n IS NOT NULL"))
+        going = level.where("near_n IS NULL")
         if going.isEmpty():
             break
         level = _next_level(going, edges)
     found = levels[0]
     for one in levels[1:]:
         found = found.unionByName(one)
+    backwards = F.endswith("path", F.lit(ENDS[1]))
 
     def spelt(path: str) -> Column:
         word = F.substring(path, F.lit(1), F.char_length(path) - 1)
-        return F.when(F.col("back"), F.reverse(word)).otherwise(word)
+        return F.when(backwards, F.reverse(word)).otherwise(word)
 
-    found = found.select("id", "back", spelt("path").alias("word"), spelt("near").alias("near"), "near_n")
+    found = found.select(backwards.alias("back"), spelt("path").alias("word"), "n", spelt("near").alias("near"), "near_n")
     half = F.substring("word", F.lit(1), F.floor(F.char_length("word") / 2).cast("int"))
     forwards_too = F.col("back") & F.startswith("near", half)
-    one_edit = F.levenshtein("word", "near", 1) == 1
-    return found.where(~forwards_too & one_edit).select("id", "near", "near_n")
+    both = F.array(
+        F.struct("word", "near", "near_n"),
+        F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n")),
+    )
+    return found.where(~forwards_too).select(F.inline(both))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -280,10 +288,10 @@ def spelling_variants(
         raise ValueError("forms need a ratio of 2 and words of 2 letters at least")
     words = vocabulary(occurrences(df, key, text, least_letters, drop_every), least_letters, least_count)
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near")))
-    near = neighbours(words).groupBy("id").agg(F.count("*").alias("n_near"), best.alias("best"))
+    near = neighbours(words).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     often = -F.col("best.less")
     is_form = often >= ratio * F.col("n")
-    judged = words.join(near, "id", "left").select(
+    judged = words.join(near, "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
