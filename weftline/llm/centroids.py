@@ -213,6 +213,6 @@ def cluster_vectors(
     placed = rows.mapInArrow(emit, f"{schema}, cluster int, distance long, centroid_sha256 string")
     placed = materialize(placed, "clustered")
     sizes = placed.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    whole = sizes.agg(F.sum("cluster_inertia").alias("inertia"))
-    totals = F.broadcast(sizes.crossJoin(whole))  # as many rows as clusters
-    return placed.join(totals, "cluster").withColumnRenamed("key", key)
+    listed = sizes.agg(F.sum("cluster_inertia").alias("inertia"), F.collect_list(F.struct("*")).alias("all"))
+    totals = listed.select("inertia", F.inline("all"))  # as many rows as clusters
+    return placed.join(F.broadcast(totals), "cluster").withColumnRenamed("key", key)
