@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from weftline.operators import joins
-from weftline.operators.skew import hot_groups, spread_hot
+from weftline.operators.skew import deal
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (9, "f")]
 RIGHT = [(1, "p"), (2, "q"), (2, "r"), (None, "s"), (7, "t")]
@@ -65,10 +65,8 @@ def test_salted_join_with_nine_tenths_on_one_key(spark):
 
 def test_hot_rows_are_spread_in_proportion(spark):
     big = spark.range(1000).select("id", F.when(F.col("id") < 900, 1).otherwise(2).alias("k"))
-    hot = hot_groups(big, ["k"], 100)
-    assert [(r["__hot0"], r["__size"], r["__parts"]) for r in hot.collect()] == [(1, 900, 9)]
-    spread = spread_hot(big, hot, ["k"], ["id"])
-    parts = {(r.k, r["__part"]): r["count"] for r in spread.groupBy("k", "__part").count().collect()}
+    spread = deal(big, big, "k", "k", 100, both=False).side(big, F.col("k"), 0, ["id"])
+    parts = {(r.k, r["__cell0"]): r["count"] for r in spread.groupBy("k", "__cell0").count().collect()}
     assert parts[(2, 0)] == 100
     hot_parts = [n for (k, _), n in parts.items() if k == 1]
     assert len(hot_parts) == 9 and sum(hot_parts) == 900 and max(hot_parts) < 160

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,14 +75,77 @@ def test_upsert_with_two_source_rows_for_one_target_row_fails(spark):
             action()
 
 
-@pytest.mark.parametrize("rows_per_salt", [1, 1000])
-def test_upsert_inserts_repeated_and_null_source_keys_that_match_nothing(spark, rows, rows_per_salt):
+@pytest.mark.parametrize("rows_per_part", [1, 1000])
+def test_upsert_inserts_repeated_and_null_source_keys_that_match_nothing(spark, rows, rows_per_part):
     target = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "id INT, v STRING")
     source = spark.createDataFrame([(1, "z"), (5, "x"), (5, "y"), (None, "n")], "id INT, v STRING")
-    merged = versions.merge_upsert(target, source, "id", ["v"], rows_per_salt=rows_per_salt)
+    merged = versions.merge_upsert(target, source, "id", ["v"], rows_per_part=rows_per_part)
     assert rows(merged) == [(None, "c"), (None, "n"), (1, "z"), (1, "z"), (5, "x"), (5, "y")]
 
 
+def _merged(target, source, update):
+    """The merge row by row; None where it is ambiguous."""
+    found = [(k, v, w) for k, v, w in target]
+    for i, (k, v, w) in enumerate(target):
+        matches = [s for s in source if k is not None and s[0] == k]
+        if update and len(matches) > 1:
+            return None
+        if update and matches:
+            found[i] = (k, matches[0][1], w)
+    keys = {k for k, _, _ in target if k is not None}
+    return Counter(found + [s for s in source if s[0] not in keys])
+
+
+@pytest.mark.parametrize("rows_per_part", [2, 5, 1000])
+def test_merges_equal_the_merge_row_by_row(spark, rows_per_part):
+    rng = random.Random(rows_per_part)
+    schema = "k INT, v STRING, w INT"
+    for clash in (False, True):
+        # 1 is hot in the target, 2 in the source, NULL in both; 1 is matched once
+        target = [(1, "a", i % 2) for i in range(30)] + [(None, "n", 0)] * 20 + [(i, "t", i) for i in range(10, 30)]
+        source = [(2, "s", i % 2) for i in range(30)] + [(None, "m", 0)] * 20 + [(i, "u", -i) for i in range(20, 40)]
+        source += [(1, "changed", 9)] + [(2 if clash else 3, "x", 1)]
+        target += [(2, "hit", 0)] * clash
+        rng.shuffle(target), rng.shuffle(source)
+        a = spark.createDataFrame(target, schema).repartition(3)
+        b = spark.createDataFrame(source, schema).repartition(3)
+        inserted = versions.merge_insert_only(a, b, "k", rows_per_part)
+        assert Counter(map(tuple, inserted.collect())) == _merged(target, source, False)
+        upserted = versions.merge_upsert(a, b, "k", ["v"], rows_per_part)
+        expected = _merged(target, source, True)
+        if expected is None:
+            with pytest.raises(Exception, match="several source rows"):
+                upserted.count()
+        else:
+            assert Counter(map(tuple, upserted.collect())) == expected
+
+
+def test_merges_read_each_side_once_in_one_shuffle(spark, plan, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(500).selectExpr("id AS k", "'x' AS v").write.parquet(a)
+    spark.range(400, 600).selectExpr("id AS k", "'y' AS v").write.parquet(b)
+    target, source = spark.read.parquet(a), spark.read.parquet(b)
+    for merged in (versions.merge_insert_only(target, source, "k"), versions.merge_upsert(target, source, "k", ["v"])):
+        text = plan(merged)
+        assert text.count("Scan parquet") // 2 == 2 and "Join" not in text
+        tree = text[: text.index("\n\n(")]
+        assert tree.count("Exchange") == 1 and "SortAggregate" not in tree
+        assert merged.count() == 600
+
+
+def test_history_tells_apart_what_fingerprints_must(spark, plan):
+    old = [(1, "a", None, [1, None]), (2, None, "b", None), (3, "x", "y", []), (3, "x", "y", []), (4, "p", "q", [5])]
+    new = [(1, None, "a", [1, None]), (2, None, "b", None), (3, "x", "y", []), (4, "p", "q", [5]), (4, "p", "r", [5])]
+    schema = "id INT, u STRING, v STRING, w ARRAY<INT>, version INT"
+    steps = [old, new, new[::-1], [(1, None, "a", [None, 1])]]
+    history = spark.createDataFrame([(*r, i) for i, rows in enumerate(steps) for r in rows], schema)
+    commits = rows_to_frame(spark, [(i, "WRITE") for i in range(4)], "version INT, operation STRING")
+    log = versions.version_history(history, commits, "id")
+    assert "SortAggregate" not in plan(log)
+    counts = {r.version: (r.rows, r.inserted, r.updated, r.deleted) for r in log.collect()}
+    assert counts == {0: (5, 4, 0, 0), 1: (5, 0, 3, 0), 2: (5, 0, 0, 0), 3: (1, 0, 1, 3)}
+
+
 def test_diff_lists_pairs_seen_once(history, rows):
     both = history.filter(F.col("version").isin(0, 4))
     ages = versions.version_diff(both, ["id"], "age").filter("id IN (3, 7)")

@@ -1,9 +1,9 @@
 """Joins.
 
-Contract for hot keys: the left frame is the large one and any of its keys may hold a large
-share of its rows.  Inner and left joins then rely on AQE, which splits an oversized left
-partition.  AQE cannot do so for right and full outer joins, so these are composed from
-joins where it can.
+Any key may hold a large share of either side's rows.  Inner joins rely on AQE, which splits an
+oversized partition of both sides.  It cannot split the side that an outer join keeps apart, nor a
+side that doesn't come straight from its shuffle; there, keys that a sketch finds hot are dealt over
+cells (see ``weftline.operators.skew``).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.layout import total_bytes
-from weftline.operators.skew import BROADCAST_LIMIT_BYTES, hot_groups, spread_hot
+from weftline.operators.skew import BROADCAST_LIMIT_BYTES, deal
 
 HOWS = ("inner", "left", "right", "outer")
 SALTED_HOWS = ("inner", "left", "left_anti")
@@ -34,23 +34,37 @@ def join_aliased(
 
 
 def join_data(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    rows_per_part: int = 1_000_000,
 ) -> DataFrame:
-    """Join on two key names: inner, left, right or outer.  Column names must not overlap."""
+    """Join on two key names: inner, left, right or outer.  Column names must not overlap.
+
+    For outer joins the keys of both sides are measured by a sketch.  Keys with more than
+    ``rows_per_part`` rows on a side are split there and copied on the other; all others are joined
+    as they are, in the same join, so each side is read once.  A row that was copied has a partner
+    in some cell, since its key is hot on the other side; its copies without one are dropped.
+    """
     if how not in HOWS:
         raise ValueError(f"unknown join {how!r}; known: {', '.join(HOWS)}")
-    condition = left[left_key] == right[right_key]
-    if how in ("inner", "left"):
-        return left.join(right, condition, how)
-    # right = inner + unmatched right rows; outer = left + unmatched right rows.  Only the
-    # distinct left keys take part in the second join, so a hot left key costs one row there.
-    kept = left.join(right, condition, "inner" if how == "right" else "left")
-    return kept.unionByName(_unmatched(right, right_key, left, left_key), allowMissingColumns=True)
-
-
-def _unmatched(right: DataFrame, right_key: str, left: DataFrame, left_key: str) -> DataFrame:
-    seen = left.select(F.col(left_key).alias("__seen")).distinct()
-    return right.join(seen, F.col(right_key) == F.col("__seen"), "left_anti")
+    same = left[left_key] == right[right_key]
+    dealt = deal(left, right, left_key, right_key, rows_per_part) if how != "inner" else None
+    if dealt is None or not dealt.needed:
+        return left.join(right, same, how)
+    names = ("__cell0", "__cell1", "__copied")
+    sides = [
+        dealt.side(df, F.col(key), number).withColumnsRenamed({c: f"{c}_{number}" for c in names})
+        for number, (df, key) in enumerate(((left, left_key), (right, right_key)))
+    ]
+    for cell in names[:2]:
+        same &= F.col(f"{cell}_0") == F.col(f"{cell}_1")
+    mine, theirs = F.col("__copied_0"), F.col("__copied_1")
+    lone_copy = (mine.isNull() & theirs) | (theirs.isNull() & mine)
+    joined = sides[0].join(sides[1], same, how).where(~F.coalesce(lone_copy, F.lit(False)))
+    return joined.select(*[F.col(f"`{c}`") for c in (*left.columns, *right.columns)])
 
 
 def join_broadcast(
@@ -116,8 +130,9 @@ def join_salted(
 
     ``big`` rows get a salt from a hash of ``spread_by`` (all columns by default), which a
     retried task repeats; ``small`` rows are repeated once per salt.  With ``salts`` every key
-    is spread that often.  Without it the keys are counted first and only the hot ones are
-    spread, each in proportion to its rows.  NULL keys match nothing and are spread alike.
+    is spread that often.  Without it a sketch of the keys, which shuffles none of them, names the
+    hot ones, and only these are spread, each in proportion to its rows.  NULL keys match nothing
+    and are spread alike.
 
     AQE splits hot keys only where both sides of the join come straight from their shuffles;
     use this form where one side is an aggregate on the same key.
@@ -129,13 +144,11 @@ def join_salted(
         fanned = big.withColumn("__part", F.pmod(spread, F.lit(salts)).cast("int"))
         copies = small.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     else:
-        hot = hot_groups(big, [key], rows_per_salt)
-        if hot.isEmpty():
+        dealt = deal(big, small, key, key, rows_per_salt, both=False)
+        if not dealt.needed:
             return big.join(small, key, how)
-        fanned = spread_hot(big, hot, [key], spread_by or big.columns).drop("__size")
-        copies = (
-            small.join(hot, F.col(key).eqNullSafe(F.col("__hot0")), "left")
-            .withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)))
-            .drop("__hot0", "__size", "__parts")
-        )
+        unused = ("__cell1", "__copied")
+        fanned = dealt.side(big, F.col(key), 0, spread_by).drop(*unused)
+        copies = dealt.side(small, F.col(key), 1).drop(*unused)
+        fanned, copies = (df.withColumnRenamed("__cell0", "__part") for df in (fanned, copies))
     return fanned.join(copies, [key, "__part"], how).drop("__part")

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weftline.operators.joins import join_salted
+from weftline.operators.skew import deal
 
 VERSION = "version"
 
@@ -47,20 +48,41 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
-def _not_in(
-    source: DataFrame, target: DataFrame, key: str, rows_per_salt: int
-) -> DataFrame:
-    """Source rows whose key the target does not have; a NULL key matches nothing."""
-    present = target.select(key).distinct()
-    unmatched = join_salted(source, present, key, "left_anti", rows_per_salt=rows_per_salt)
-    return unmatched.select(*source.columns)
+def _together(target: DataFrame, source: DataFrame, key: str, rows_per_part: int) -> DataFrame:
+    """Both sides' rows with ``__source`` and, of their key, ``__targets`` and ``__sources``.
+
+    One shuffle brings the rows of a key together.  Keys that a sketch finds hot on a side are split
+    there and their rows of the other side copied into every part (``__copied``), so the two numbers
+    are those of the part.  ``__first`` marks one copy of each target row.
+    """
+    dealt = deal(target, source, key, key, rows_per_part)
+    tagged = []
+    for number, side in enumerate((target, source)):
+        cells = dealt.side(side.select(*target.columns), F.col(key), number)
+        tagged.append(
+            cells.withColumn("__source", F.lit(bool(number))).withColumn("__first", F.col("__cell1") == 0)
+        )
+    together = Window.partitionBy(key, "__cell0", "__cell1")
+    return (
+        tagged[0]
+        .unionByName(tagged[1])
+        .withColumn("__targets", F.count_if(~F.col("__source")).over(together))
+        .withColumn("__sources", F.count_if(F.col("__source")).over(together))
+    )
+
+
+def _is_new() -> Column:
+    """Whether a source row's key is in no target row; a copied one's is hot there."""
+    return ~F.col("__copied") & (F.col("__targets") == 0)
 
 
 def merge_insert_only(
-    target: DataFrame, source: DataFrame, key: str, rows_per_salt: int = 1_000_000
+    target: DataFrame, source: DataFrame, key: str, rows_per_part: int = 1_000_000
 ) -> DataFrame:
-    """Add the source rows that match no target row."""
-    return target.unionByName(_not_in(source, target, key, rows_per_salt))
+    """Add the source rows that match no target row; a NULL key matches nothing."""
+    rows = _together(target, source, key, rows_per_part)
+    new = F.col(key).isNull() | _is_new()
+    return rows.where(F.when(F.col("__source"), new).otherwise(F.col("__first"))).select(*target.columns)
 
 
 def merge_upsert(
@@ -68,32 +90,32 @@ def merge_upsert(
     source: DataFrame,
     key: str,
     columns: Sequence[str],
-    rows_per_salt: int = 1_000_000,
+    rows_per_part: int = 1_000_000,
 ) -> DataFrame:
     """Update ``columns`` where a source row matches, insert the source rows that match none.
 
-    Two source rows for one target row are an error when the result is computed.  Each side is
-    reduced to one row per key before it meets the other, and keys that repeat very often on
-    the other side are spread over tasks.
+    Two source rows for one target row are an error when the result is computed.  Target and source
+    are read once and meet in one shuffle; keys that repeat very often are spread over tasks.
     """
-    changes = source.groupBy(key).agg(
-        F.count("*").alias("__n"),
-        *[F.any_value(F.col(c)).alias(f"__new_{c}") for c in columns],
-    )
-    matched = F.col("__n").isNotNull()
-    ambiguous = F.raise_error(
+    rows = _together(target, source, key, rows_per_part)
+    matched = F.col(key).isNotNull() & (F.col("__sources") > 0)
+    # A copied target row's key has several source rows, of which a part may hold one.
+    ambiguous = ~F.col("__source") & matched & (F.col("__copied") | (F.col("__sources") > 1))
+    error = F.raise_error(
         F.concat(F.lit("several source rows match the target row with key "), F.col(key).cast("string"))
     )
-    updated = (
-        join_salted(target, changes, key, "left", rows_per_salt=rows_per_salt)
-        # As a filter the guard also runs for actions that read no column.
-        .where(F.when(matched & (F.col("__n") > 1), ambiguous).cast("string").isNull())
-        .withColumns(
-            {c: F.when(matched, F.col(f"__new_{c}")).otherwise(F.col(c)) for c in columns}
-        )
-        .select(*target.columns)
+    together = Window.partitionBy(key, "__cell0", "__cell1")
+    changes = F.when(F.col("__source"), F.struct(*[F.col(c) for c in columns]))
+    change = F.first(changes, ignorenulls=True).over(together)
+    # The guard is part of the one filter, so that it runs whatever columns are read.
+    kept = (
+        F.when(ambiguous, error.cast("boolean"))
+        .when(F.col("__source"), F.col(key).isNull() | _is_new())
+        .otherwise(F.col("__first"))
     )
-    return updated.unionByName(_not_in(source, target, key, rows_per_salt))
+    updates = ~F.col("__source") & matched
+    changed = {c: F.when(updates, F.col(f"__change.`{c}`")).otherwise(F.col(c)) for c in columns}
+    return rows.withColumn("__change", change).where(kept).withColumns(changed).select(*target.columns)
 
 
 def read_version(history: DataFrame, version: int) -> DataFrame:
@@ -162,18 +184,35 @@ class VersionedTable:
         return self.commit(self.read(version), "RESTORE")
 
 
+def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Four 32-bit numbers of a row, from two 64-bit hashes: sums of them compare sets of rows.
+
+    Sums do not depend on the order of rows, count repeated ones, and add up before a shuffle; 2**31
+    rows fit.  Which values are NULL is part of the hash; nested values count as JSON text.
+    """
+    parts: list[Column] = [F.lit(len(columns))]
+    for name in columns:
+        value = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(value, {"ignoreNullFields": "false"})
+        parts += [value.isNull(), value]
+    hashes = [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
+    low = F.lit(0xFFFFFFFF)
+    return [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(low))]
+
+
 def version_history(history: DataFrame, commits: DataFrame, key: str) -> DataFrame:
-    """Per commit: operation, rows in the version, and rows inserted, updated and deleted.
+    """Per commit: operation, rows in the version, and keys inserted, updated and deleted.
 
     ``commits`` is the log with (version, operation), one row per version.  Each row is laid
     against the same key of the version before by grouping, not by joining: a row counts as
-    new in its own version and as old in the next.
+    new in its own version and as old in the next.  A key's rows, one or several, have changed if
+    the sums of their fingerprints differ.
     """
-    values = [c for c in history.columns if c not in (VERSION, key)]
-    row = F.struct(*[F.col(c) for c in values]) if values else F.lit(True)
+    prints = row_fingerprint(history, [c for c in history.columns if c not in (VERSION, key)])
     sides = history.select(
         F.col(key).alias("__key"),
-        row.alias("__row"),
+        *[p.alias(f"__print{i}") for i, p in enumerate(prints)],
         F.explode(
             F.array(
                 F.struct(F.col(VERSION).alias("v"), F.lit(True).alias("new")),
@@ -182,20 +221,21 @@ def version_history(history: DataFrame, commits: DataFrame, key: str) -> DataFra
         ).alias("__at"),
     )
     is_new = F.col("__at.new")
+    numbers = [F.col(f"__print{i}") for i in range(len(prints))]
     pairs = sides.groupBy(F.col("__at.v").alias(VERSION), "__key").agg(
         F.count_if(is_new).alias("n_new"),
         F.count_if(~is_new).alias("n_old"),
-        F.max(F.when(is_new, F.col("__row"))).alias("new"),
-        F.max(F.when(~is_new, F.col("__row"))).alias("old"),
+        *[F.sum(F.when(is_new, n).otherwise(-n)).alias(f"__by{i}") for i, n in enumerate(numbers)],
     )
-    present, absent = F.col("n_new") > 0, F.col("n_new") == 0
+    present, before = F.col("n_new") > 0, F.col("n_old") > 0
+    changed = F.col("n_new") != F.col("n_old")
+    for i in range(len(prints)):
+        changed |= F.col(f"__by{i}") != 0
     changes = pairs.groupBy(VERSION).agg(
         F.sum("n_new").alias("rows"),
-        F.count_if(present & (F.col("n_old") == 0)).alias("inserted"),
-        F.count_if(present & (F.col("n_old") > 0) & ~F.col("new").eqNullSafe(F.col("old"))).alias(
-            "updated"
-        ),
-        F.count_if(absent).alias("deleted"),
+        F.count_if(present & ~before).alias("inserted"),
+        F.count_if(present & before & changed).alias("updated"),
+        F.count_if(~present).alias("deleted"),
     )
     counts = ("rows", "inserted", "updated", "deleted")
     return commits.join(changes, VERSION, "left").select(

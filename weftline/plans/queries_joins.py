@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators import joins
+from weftline.operators import joins, skew
 from weftline.operators.aggregates import agg_named
 from weftline.operators.columns import filter_data
 from weftline.operators.layout import analyze_columns, reused
@@ -213,6 +213,21 @@ def _join_salted_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*SKEWED)
 
 
+@query(
+    "heavy_hitters",
+    f"""WITH orders_ AS (SELECT CASE WHEN copy > 0 THEN {HOT_CUSTOMER} WHEN o_orderstatus <> 'P' THEN o_custkey
+                                     END AS c_custkey FROM orders, range(6) r(copy))
+        SELECT c_custkey, count(*) AS n FROM orders_ GROUP BY c_custkey
+        HAVING count(*) >= 0.002 * (SELECT count(*) FROM orders_)""",
+)
+def _heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with two orders in a thousand; pending orders of the first copy have none."""
+    orders = table(spark, sf_dir, "orders")
+    known = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    keys = orders.select("o_orderkey", known.alias("c_custkey"))
+    return skew.heavy_hitters(gen_skew(keys, "c_custkey", HOT_CUSTOMER, copy_column="copy"), "c_custkey", 0.002)
+
+
 @query(
     "join_filtered_dim_avg",
     """SELECT p_brand AS city, avg(l_quantity) AS avg_stars, count(*) AS n_reviews
