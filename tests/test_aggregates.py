@@ -132,3 +132,12 @@ def test_union_is_by_position_and_keeps_duplicates(spark, rows):
     a = spark.createDataFrame([(1, "x")], "id INT, v STRING")
     b = spark.createDataFrame([(1, "x")], "other INT, name STRING")
     assert rows(ordering.union_positional(a, b)) == [(1, "x"), (1, "x")]
+
+
+def test_a_sort_that_writes_first_runs_the_join_once(spark, plan):
+    a = spark.range(1000).selectExpr("id AS k", "id % 7 AS v")
+    joined = a.join(a.withColumnRenamed("v", "w"), "k")
+    assert "Join" in plan(ordering.sort_desc(joined, "v", "k"))
+    ordered = ordering.sort_desc(joined, "v", "k", write_first=True)
+    assert "Join" not in plan(ordered)
+    assert [tuple(r) for r in ordered.collect()] == sorted(map(tuple, joined.collect()), key=lambda r: (-r[1], r[0]))

@@ -95,6 +95,17 @@ def test_broadcast_is_refused_above_the_limit(spark, plan, no_auto_broadcast):
     assert joined.count() == 100
 
 
+def test_a_build_side_that_does_not_fit_is_merged(spark, plan, no_auto_broadcast):
+    fact = spark.range(1000).withColumnRenamed("id", "k")
+    even = spark.range(1000).selectExpr("id AS k", "'x' AS name")
+    hot = spark.range(1000).selectExpr("IF(id < 900, 1, id) AS k", "'x' AS name")
+    limit = 30_000  # a partition of the even side has an eighth of some 100 KB
+    for side, name in ((even, "ShuffledHashJoin"), (hot, "SortMergeJoin")):
+        joined = joins.join_shuffle_hash(fact, side, "k", partition_bytes=limit)
+        assert name in plan(joined) and joined.count() == 1000
+    assert "SortMergeJoin" in plan(joins.join_shuffle_hash(fact, even, "k", partition_bytes=100))
+
+
 def test_star_join_order_does_not_change_rows(spark, rows):
     random.seed(1)
     fact = spark.createDataFrame([(i, i % 4, i % 6) for i in range(40)], "id INT, a INT, b INT")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.operators import layout, quality
 
@@ -125,6 +126,24 @@ def test_partitions(spark):
     assert layout.coalesce_n(base, 12).rdd.getNumPartitions() == 12
     profile = layout.partition_profile(layout.repartition_n(df, 5)).collect()
     assert len(profile) == 5 and sum(r.rows for r in profile) == 100
+    one_key = layout.repartition_n(df.withColumn("k", F.lit(1)), 5, "k")
+    assert sorted(r.rows for r in layout.partition_profile(one_key).collect()) == [0, 0, 0, 0, 100]
+    summary = layout.partition_summary(one_key).first()
+    assert tuple(summary) == (5, 4, 100, 5.0)
+    assert layout.partition_summary(df.limit(0)).first().n_rows == 0
+
+
+def test_three_kinds_of_size(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "repeat('x', CAST(id % 50 AS INT)) AS s")
+    sizes = {r.kind: r.bytes for r in layout.size_kinds(df).collect()}
+    assert sizes["data"] == 8000 + sum(i % 50 for i in range(1000)) and sizes["plan"] > 0
+    assert sizes["build"] == 1000 * (2 * 24 + 32) + 2 * sum(-(-(i % 50) // 8) * 8 for i in range(1000))
+    df.write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    written = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert abs(layout.plan_bytes(read) - written) < 0.01 * written
+    assert layout.plan_bytes(read.where("id < 0")) <= layout.plan_bytes(read)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("plan_size_")]
 
 
 def test_reuse_is_released(spark):

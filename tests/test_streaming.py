@@ -207,7 +207,7 @@ def test_stream_joins_keep_every_ride_at_any_date(spark, days):
         assert sorted(map(tuple, here.collect())) == sorted(map(tuple, there.collect()))
 
 
-def test_waves_drop_no_row_and_let_state_go(spark, monkeypatch):
+def test_slices_drop_no_row_and_let_state_go(spark, monkeypatch):
     seen = []
     start = run.start
 
@@ -217,13 +217,18 @@ def test_waves_drop_no_row_and_let_state_go(spark, monkeypatch):
         return query
 
     monkeypatch.setattr(run, "start", watched)
-    QUERIES["stream_tumbling_agg"](spark, "/root/testdata/sf0.001")
-    assert len(seen) == queries_streams.WAVES
-    rows = [sum(o.numRowsTotal for o in q.recentProgress[-1].stateOperators) for q in seen]
-    dropped = sum(o.numRowsDroppedByWatermark for q in seen for p in q.recentProgress for o in p.stateOperators)
-    updated = [sum(o.numRowsUpdated for p in q.recentProgress for o in p.stateOperators) for q in seen]
-    assert dropped == 0
-    assert max(rows) < max(updated)  # closed windows are gone when a wave ends
+    monkeypatch.setattr(queries_streams, "BATCH_BYTES", 20_000)
+    here = QUERIES["stream_tumbling_agg"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1  # one query, whatever the number of slices
+    progress = [p for p in seen[0].recentProgress if p.stateOperators]
+    fed = [p for p in progress if p.numInputRows]
+    assert len(fed) > 2
+    state = [p.stateOperators[0] for p in progress]
+    assert sum(o.numRowsDroppedByWatermark for o in state) == 0
+    assert state[-1].numRowsTotal < sum(o.numRowsUpdated for o in state)  # closed windows are gone
+    monkeypatch.setattr(queries_streams, "BATCH_BYTES", 1 << 30)
+    whole = QUERIES["stream_tumbling_agg"](spark, "/root/testdata/sf0.001")
+    assert sorted(map(str, here.collect())) == sorted(map(str, whole.collect()))
 
 
 def test_several_tables_have_their_own_checkpoints(spark, tmp_path):

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.layout import total_bytes
-from weftline.operators.skew import BROADCAST_LIMIT_BYTES, deal
+from weftline.operators.layout import build_bytes
+from weftline.operators.skew import BROADCAST_LIMIT_BYTES, SKETCHED, Heat, deal, sketch
 
 HOWS = ("inner", "left", "right", "outer")
 SALTED_HOWS = ("inner", "left", "left_anti")
@@ -74,19 +74,30 @@ def join_broadcast(
     how: str = "inner",
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
-    """Broadcast ``small`` if its measured size is within the limit, else a shuffled join.
+    """Broadcast ``small`` if what it takes as a hashed relation is within the limit, else a shuffled join.
 
     The measurement is one aggregate over ``small``.  Above the limit Spark picks the join,
     with both sides partitioned by the key.
     """
-    if total_bytes(small) <= limit_bytes:
+    if build_bytes(small) <= limit_bytes:
         return big.join(F.broadcast(small), key, how)
     return big.join(small, key, how)
 
 
-def join_shuffle_hash(big: DataFrame, small: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Partition both sides by the key and build hash tables from ``small``."""
-    return big.join(small.hint("shuffle_hash"), key)
+def join_shuffle_hash(
+    big: DataFrame, small: DataFrame, key: str, partition_bytes: int = 64 * 1024 * 1024
+) -> DataFrame:
+    """Partition both sides by the key and build hash tables from ``small``.
+
+    A hash table can't spill.  So the build side is measured first: if its mean share of a partition
+    or that of its hottest key is above ``partition_bytes``, both sides are merged instead.
+    """
+    size = build_bytes(small)
+    heat = sketch(small, small[key]) if isinstance(small.schema[key].dataType, SKETCHED) else Heat(1, 0, {})
+    partitions = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hottest = max(heat.hot.values(), default=0) / max(1, heat.rows)
+    fits = size * max(hottest, 1 / partitions) <= partition_bytes
+    return big.join(small.hint("shuffle_hash" if fits else "merge"), key)
 
 
 def join_sort_merge(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -179,7 +179,12 @@ def business_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rides = jobs.ride_report(roles.trips(spark, sf_dir), roles.zones(spark, sf_dir))
     ordered = ordering.sort_desc(
-        rides, "request_datetime", "pickup_datetime", "base_passenger_fare", "driver_pay"
+        rides,
+        "request_datetime",
+        "pickup_datetime",
+        "base_passenger_fare",
+        "driver_pay",
+        write_first=True,
     )
     return roles.plain_money(ordered)
 

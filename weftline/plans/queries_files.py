@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.operators.aggregates import count_column, count_rows
+from weftline.operators.layout import total_bytes
 from weftline.plans.registry import money, query, table
 from weftline.sources import files, generate, sinks, tables
 from weftline.workspace import workspace
@@ -87,9 +88,14 @@ def _scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SMALL_FILE_BYTES = 1 << 20
+
+
 @query("scan_json_small_files", f"SELECT {EVENT_COLUMNS} FROM events")
 def _scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(table(spark, sf_dir, "events").repartition(64), "json")
+    events = table(spark, sf_dir, "events")
+    many = max(64, total_bytes(events) // SMALL_FILE_BYTES)  # small files at any size of the table
+    path = _written(events.repartition(many), "json")
     return files.scan_json(spark, f"{path}/*.json").withColumn(
         "ts", F.col("ts").cast("timestamp_ntz")
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from contextlib import ExitStack
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from weftline.operators import joins, skew
 from weftline.operators.aggregates import agg_named
 from weftline.operators.columns import filter_data
-from weftline.operators.layout import analyze_columns, reused
+from weftline.operators.layout import analyze_columns, cached_table, planned_by_cost, reused
 from weftline.plans import jobs, roles
 from weftline.plans.registry import money, query, table
 from weftline.sources.generate import gen_skew
@@ -133,14 +136,57 @@ def _analyzed_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     with (
         external_table(spark, f"{sf_dir}/customer.parquet") as stores,
         external_table(spark, f"{sf_dir}/nation.parquet") as countries,
+        planned_by_cost(spark),
     ):
         store_table = analyze_columns(table(spark, sf_dir, "customer"), stores, ["c_custkey"])
         country_table = analyze_columns(table(spark, sf_dir, "nation"), countries, ["n_nationkey"])
-        return jobs.transaction_star(
+        star = jobs.transaction_star(
             roles.transactions(spark, sf_dir),
             store_table.selectExpr("c_custkey AS id", "c_acctbal AS employees", "c_name AS name"),
             country_table.selectExpr("n_nationkey AS id", "n_name AS name"),
         )
+        return materialize(star, "analyzed-star")
+
+
+PRICED_SQL = """
+    SELECT p_brand AS brand, n_name AS nation, count(*) AS n
+    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+    JOIN nation ON s_nationkey = n_nationkey
+    WHERE p_size = 7 GROUP BY p_brand, n_name
+"""
+
+
+@query("analyzed_join_order", PRICED_SQL)
+def _analyzed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same text as the SQL, over analyzed tables: the order of joins is the optimizer's."""
+    keys = {
+        "lineitem": ["l_partkey", "l_suppkey"],
+        "part": ["p_partkey", "p_size"],
+        "supplier": ["s_suppkey", "s_nationkey"],
+        "nation": ["n_nationkey"],
+    }
+    with ExitStack() as open_tables, planned_by_cost(spark):
+        text = PRICED_SQL
+        for name, columns in keys.items():
+            registered = open_tables.enter_context(external_table(spark, f"{sf_dir}/{name}.parquet"))
+            analyze_columns(table(spark, sf_dir, name), registered, columns)
+            text = re.sub(rf"\b{name}\b(?= (ON|JOIN))", registered, text)
+        return materialize(spark.sql(text), "analyzed-order")
+
+
+@query("cached_table", PRICED_SQL)
+def _cached_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").where("p_size = 7").select("p_partkey", "p_brand")
+    supplier = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    with cached_table(part, "sized_parts") as parts, cached_table(supplier, "placed_suppliers") as suppliers:
+        lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+        joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+            suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+        )
+        counts = joined.groupBy(F.col("p_brand").alias("brand"), F.col("n_name").alias("nation"))
+        return materialize(counts.agg(F.count("*").alias("n")), "cached-join")
 
 
 @query(

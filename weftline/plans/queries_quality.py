@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators import layout, quality
+from weftline.operators import layout, quality, sketches
 from weftline.plans.registry import query, table
+from weftline.workspace import materialize
 
 ORDER_COLUMNS = (
     "o_orderkey",
@@ -286,7 +287,71 @@ def _coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fewer.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query("partition_profile", "SELECT count(*) AS n FROM lineitem")
+@query(
+    "partition_profile",
+    """SELECT 24 AS n_partitions, 0 AS n_empty, count(*) AS n_rows, true AS is_balanced FROM lineitem
+       UNION ALL SELECT 24, 23, count(*), false FROM lineitem""",
+)
 def _partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = layout.partition_profile(table(spark, sf_dir, "lineitem"))
-    return profile.agg(F.sum("rows").alias("n"))
+    """Rows dealt in turn, and all under one key."""
+    lines = table(spark, sf_dir, "lineitem")
+    dealt = layout.partition_summary(layout.repartition_n(lines, 24))
+    one_key = lines.withColumn("same", F.lit(7))
+    keyed = layout.partition_summary(layout.repartition_n(one_key, 24, "same"))
+    return dealt.union(keyed).select(
+        "n_partitions", "n_empty", "n_rows", (F.col("largest_over_mean") < 1.1).alias("is_balanced")
+    )
+
+
+@query(
+    "size_kinds",
+    """WITH d AS (SELECT sum(8 + strlen(p_name) + strlen(p_brand) + 4)::BIGINT AS data FROM part)
+       SELECT kind, CASE WHEN kind = 'data' THEN data END AS data_bytes, true AS is_plausible
+       FROM d, (VALUES ('data'), ('plan'), ('build')) k(kind)""",
+)
+def _size_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data bytes exactly; the build side takes more than the data and less than twelve times it."""
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("long"), "p_name", "p_brand", F.col("p_size").cast("int")
+    )
+    sizes = layout.size_kinds(part)
+    kind, size = F.col("kind"), F.col("bytes")
+    data = {r.kind: r.bytes for r in sizes.collect()}["data"]
+    plausible = (kind != "build") | ((size > data) & (size < 12 * data))
+    return sizes.select(
+        "kind", F.when(kind == "data", size).alias("data_bytes"), (plausible & (size > 0)).alias("is_plausible")
+    )
+
+
+PART_COLUMNS = ("l_quantity", "l_extendedprice", "l_orderkey", "l_returnflag")
+
+
+@query(
+    "profile_from_parts",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS n_rows, 1.0::DOUBLE AS completeness,
+                   {f"min({c})::DOUBLE" if c != "l_returnflag" else "NULL::DOUBLE"} AS min_value,
+                   {f"max({c})::DOUBLE" if c != "l_returnflag" else "NULL::DOUBLE"} AS max_value,
+                   true AS is_close FROM lineitem"""
+        for c in PART_COLUMNS
+    ),
+)
+def _profile_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines profiled by the year they ship in, written, and merged; estimates against exact values."""
+    lines = table(spark, sf_dir, "lineitem")
+    years = sketches.sketch_parts(lines.select("l_shipdate", *PART_COLUMNS), F.year("l_shipdate"))
+    kept = materialize(years, "year-sketches").where(F.col("column_name") != "l_shipdate")
+    merged = sketches.merge_parts(kept)
+    exact = lines.agg(
+        *[F.count_distinct(c).alias(f"n_{c}") for c in PART_COLUMNS],
+        *[F.median(c).alias(f"m_{c}") for c in PART_COLUMNS[:2]],
+        *[F.stddev(c).alias(f"s_{c}") for c in PART_COLUMNS[:2]],
+    )
+    close = F.lit(True)
+    for c in PART_COLUMNS:
+        near = F.abs(F.col("distinct_values") - F.col(f"n_{c}")) <= 4 * sketches.DISTINCT_ERROR * F.col(f"n_{c}") + 1
+        if c in PART_COLUMNS[:2]:
+            near &= F.abs(F.col("median") - F.col(f"m_{c}")) <= 0.1 * F.col(f"s_{c}")
+        close = F.when(F.col("column_name") == c, near).otherwise(close)
+    beside = merged.join(F.broadcast(exact.withColumn("__all", F.lit(True))), F.col("__all"), "left")
+    return beside.select("column_name", "n_rows", "completeness", "min_value", "max_value", close.alias("is_close"))

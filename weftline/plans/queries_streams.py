@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.plans.registry import money, query, table
-from weftline.sources.sinks import write_parquet
-from weftline.streaming import fraud, joins, run, sources, windows
+from weftline.streaming import feed, fraud, joins, profiles, run, sources, windows
 from weftline.workspace import workspace
 
-
-WAVES = 4
+BATCH_BYTES = feed.BATCH_BYTES
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,31 +18,9 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return sources.file_stream(spark, path, table(spark, sf_dir, name).schema)
 
 
-Build = Callable[[DataFrame], DataFrame]
-
-
-def _result(spark: SparkSession, sf_dir: str, purpose: str, build: Build) -> DataFrame:
-    """Feed the events in WAVES slices of event time, each processed before the next arrives.
-
-    ``build`` makes the query from the stream of events.  Later waves hold later events, so the
-    watermark drops none, and state of closed windows is gone before the next wave.
-    """
-    events = table(spark, sf_dir, "events")
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    inbox, out = workspace(spark, f"{purpose}-inbox"), workspace(spark, purpose)
-    for wave in range(WAVES):
-        start = low + (high - low) * wave / WAVES if low else None
-        end = low + (high - low) * (wave + 1) / WAVES if low else None
-        slice_ = F.col("ts") >= F.lit(start)
-        if wave < WAVES - 1:
-            slice_ &= F.col("ts") < F.lit(end)
-        elif low is not None:  # rows without a time come last
-            slice_ |= F.col("ts").isNull()
-        write_parquet(events.where(slice_), f"{inbox}/wave={wave}")
-        arrived = sources.file_stream(spark, f"{inbox}/wave=*", events.schema)
-        stream = build(arrived.select(*events.columns))
-        run.append_available(stream, out)
-    return spark.read.schema(stream.schema).parquet(out)
+def _result(spark: SparkSession, sf_dir: str, purpose: str, build: feed.Build) -> DataFrame:
+    """The results of a query over the events, fed in order of their time; see ``feed.run_in_order``."""
+    return feed.run_in_order(table(spark, sf_dir, "events"), "ts", build, purpose, BATCH_BYTES)
 
 
 def _rides(events: DataFrame) -> DataFrame:
@@ -214,12 +188,6 @@ def _profiles(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, st
     )
 
 
-def _validity(spark: SparkSession, sf_dir: str) -> str:
-    """How long profiles are valid: as long as there are events."""
-    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
-    return f"{int((high - low).total_seconds()) + 1 if low else 1} seconds"
-
-
 CUSTOMERS = {"c_custkey": "customer_id", "c_name": "customer_name"}
 DRIVERS = {"s_suppkey": "driver_id", "s_name": "driver_name"}
 
@@ -232,13 +200,9 @@ DRIVERS = {"s_suppkey": "driver_id", "s_name": "driver_name"}
          FROM rides JOIN customer ON customer_id = c_custkey""",
 )
 def _join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = _validity(spark, sf_dir)
-
     def build(events: DataFrame) -> DataFrame:
         customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
-        return joins.join_streams(
-            _rides(events), customers, "customer_id", within=valid, salts=8, row_id="ride_id"
-        )
+        return profiles.join_latest(_rides(events), customers, "customer_id")
 
     return _plain(_result(spark, sf_dir, "rides-customers", build))
 
@@ -252,23 +216,11 @@ def _join(spark: SparkSession, sf_dir: str) -> DataFrame:
          JOIN supplier ON driver_id = s_suppkey""",
 )
 def _join_three(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = _validity(spark, sf_dir)
-
     def build(events: DataFrame) -> DataFrame:
         customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
         drivers = _profiles(spark, sf_dir, "supplier", DRIVERS)
-        enriched = joins.join_streams(
-            _rides(events), customers, "customer_id", within=valid, salts=8, row_id="ride_id"
-        )
-        return joins.join_streams(
-            enriched,
-            drivers,
-            "driver_id",
-            within=valid,
-            delays=(None, "1 minute"),
-            salts=8,
-            row_id="ride_id",
-        )
+        enriched = profiles.join_latest(_rides(events), customers, "customer_id")
+        return profiles.join_latest(enriched, drivers, "driver_id", delays=(None, "1 minute"))
 
     return _plain(_result(spark, sf_dir, "rides-customers-drivers", build))
 
@@ -373,16 +325,42 @@ def _fraud_driver_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks arrive after everything else: those behind the watermark by then are dropped."""
+    with _late_feed(spark, sf_dir) as late:
+        return _plain(late.table())
+
+
+def _late_feed(spark: SparkSession, sf_dir: str) -> feed.Feed:
+    """A count per day and type to which all events but clicks came first, and clicks after them."""
     events = table(spark, sf_dir, "events").select("event_type", "ts")
-    inbox, out = workspace(spark, "late-inbox"), workspace(spark, "late-counts")
-    is_late = F.col("event_type") == "click"
-    for wave, rows in enumerate((events.filter(~is_late), events.filter(is_late))):
-        write_parquet(rows, f"{inbox}/wave={wave}")
-        arrived = sources.file_stream(spark, f"{inbox}/wave=*", events.schema).select(
-            "event_type", F.col("ts").cast("timestamp").alias("event_time")
-        )
-        counts = windows.window_agg(
-            arrived, F.window("event_time", "1 day"), ["event_type"], {"n": F.count("*")}, "2 days"
+
+    def build(arrived: DataFrame) -> DataFrame:
+        timed = arrived.select("event_type", F.col("ts").cast("timestamp").alias("event_time"))
+        return windows.window_agg(
+            timed, F.window("event_time", "1 day"), ["event_type"], {"n": F.count("*")}, "2 days"
         )
-        run.append_available(counts, out)
-    return _plain(spark.read.schema(counts.schema).parquet(out))
+
+    late = feed.Feed(spark, events.schema, build, "late-counts")
+    is_late = F.col("event_type") == "click"
+    for rows in (events.where(~is_late), events.where(is_late)):
+        late.put(rows)
+    return late
+
+
+@query(
+    "stream_late_totals",
+    """WITH waves AS (SELECT ts, event_type = 'click' AS late,
+                             date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 day AS window_end
+                      FROM events),
+       first AS (SELECT max(ts) - INTERVAL 2 day AS watermark FROM waves WHERE NOT late),
+       final AS (SELECT max(ts) - INTERVAL 2 day AS watermark FROM waves),
+       told AS (SELECT CASE WHEN late AND window_end <= first.watermark THEN 'dropped'
+                            WHEN window_end <= final.watermark THEN 'kept' ELSE 'open' END AS what
+                FROM waves, first, final)
+       SELECT count(*) AS arrived, count(*) FILTER (what = 'kept') AS kept,
+              count(*) FILTER (what = 'open') AS open, count(*) FILTER (what = 'dropped') AS dropped
+       FROM told""",
+)
+def _late_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every event of ``stream_late_data``."""
+    with _late_feed(spark, sf_dir) as late:
+        return late.totals(F.col("n"), F.col("value.count"))

@@ -21,15 +21,22 @@ DEFAULTS = {
 }
 
 
-def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
-    """Start a query; what DEFAULTS names and the session does not set is set once, for good.
+def set_defaults(spark: SparkSession) -> None:
+    """Set what DEFAULTS names and the session does not, once and for good.
 
-    The settings concern streams only, so batch queries planned meanwhile are not touched.  The
-    session's shuffle partitions become the query's state partitions and stay in its checkpoint.
+    The settings concern streams only, so batch queries planned meanwhile are not touched.
     """
     for name, value in DEFAULTS.items():
         if spark.conf.get(name, None) is None:
             spark.conf.set(name, value)
+
+
+def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a query with the DEFAULTS.
+
+    The session's shuffle partitions become the query's state partitions and stay in its checkpoint.
+    """
+    set_defaults(spark)
     return writer.start()
 
 
