@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import random
 import zlib
@@ -112,6 +113,32 @@ def _fewest(items, capacity):
     return best
 
 
+def _best_fit_decreasing(histogram, capacity):
+    """Sequences that plain best fit decreasing needs, piece by piece."""
+    rooms = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            at = bisect.bisect_left(rooms, length)
+            room = rooms.pop(at) if at < len(rooms) else capacity
+            bisect.insort(rooms, room - length)
+    return len(rooms)
+
+
+def test_plans_never_need_more_than_plain_best_fit():
+    known = {2332: 104, 2518: 2, 1545: 172, 947: 1, 699: 1}
+    assert best_fit.plan(known, 4096).sequences <= 139
+    assert best_fit.plan({1365: 3, 1: 1}, 4096).sequences == 1
+    rng, fixed = random.Random(9), 0
+    for _ in range(500):
+        lengths = [rng.randint(1, 4096) for _ in range(rng.randint(1, 12))]
+        histogram = {length: rng.randint(1, 200) for length in lengths}
+        plan = best_fit.plan(histogram, 4096)
+        _checked(histogram, plan)
+        assert plan.sequences <= _best_fit_decreasing(histogram, 4096)
+        fixed += plan.fixed
+    assert fixed > 10_000
+
+
 def test_plans_are_valid_and_near_the_optimum():
     rng = random.Random(3)
     for _ in range(150):

@@ -133,11 +133,12 @@ class Plan:
 
 
 def _dominating(item: int, left: dict[int, int], sizes: list[int], capacity: int) -> list[int] | None:
-    """A set with ``item``, the largest piece left, that no other use of it can beat; None if unproven.
+    """A set with ``item`` that no other use of it can beat; None if unproven.
 
-    ``sizes`` are the lengths left in ascending order.  A set {item} + P dominates when every other
-    set with the item can trade its rest for pieces of P without making any sequence longer:
-    each single piece or group of the rest must fit in the place of one piece of P.
+    ``sizes`` are the lengths left in ascending order, larger ones than the item included.  A set
+    {item} + P dominates when every other set with the item can trade its rest for pieces of P
+    without making any sequence longer: each single piece or group of the rest must fit in the
+    place of one piece of P.
     """
     room = capacity - item
 
@@ -180,49 +181,49 @@ def _dominating(item: int, left: dict[int, int], sizes: list[int], capacity: int
     return None
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """Pack ``histogram`` (length -> pieces) into sequences of ``capacity``.
+PASSES = 4
+
+
+def _fix_dominating(left: dict[int, int], result: Plan, used: dict[int, int]) -> list[tuple[int, int, int]]:
+    """Fix dominating sets, taking their pieces out of ``left``; the room that they leave.
 
-    Its work and its result depend on the number of different lengths only: bulk steps leave at
-    most a few groups of equal sequences for each length.
+    Lengths are tried from the largest down.  One that is unproven stays among the pieces against
+    which the others are proven.  Sets that are fixed remove alternatives, so unproven lengths are
+    tried again, in ``PASSES`` passes at most: what is then left goes to best fit.
     """
-    result, used = Plan(capacity), {}
-    left = {size: n for size, n in histogram.items() if n > 0}
-    if any(not 0 < size <= capacity for size in left):
-        raise ValueError(f"lengths must be 1 to {capacity}")
     sizes = sorted(left)
     groups: list[tuple[int, int, int]] = []  # (room, first sequence, sequences), ascending
+    for _ in range(PASSES):
+        before = result.fixed
+        for item in sizes[::-1]:
+            while left.get(item):
+                chosen = _dominating(item, left, sizes, result.capacity)
+                if chosen is None:
+                    break
+                # in bulk: taking copies of the set only removes alternatives, so it dominates while they last
+                many = min(left[s] // chosen.count(s) for s in set(chosen))
+                offset = 0
+                for size in chosen:
+                    result.put(used, size, many, result.sequences, 1, offset)
+                    left[size] -= many
+                    if not left[size]:
+                        del left[size]
+                        sizes.pop(bisect_left(sizes, size))
+                    offset += size
+                if offset < result.capacity:
+                    insort(groups, (result.capacity - offset, result.sequences, many))
+                result.sequences += many
+                result.fixed += many
+        if result.fixed == before:
+            break
+    return groups
 
-    def take(size: int, n: int) -> None:
-        left[size] -= n
-        if not left[size]:
-            del left[size]
-            sizes.pop(bisect_left(sizes, size))
-
-    # 1. fix dominating sets of the largest piece left
-    undecided: dict[int, int] = {}
-    while sizes:
-        item = sizes[-1]
-        chosen = _dominating(item, left, sizes, capacity)
-        if chosen is None:
-            undecided[item] = left[item]
-            take(item, left[item])
-            continue
-        # in bulk: taking copies of the set only removes alternatives, so it dominates while they last
-        many = min(left[s] // chosen.count(s) for s in set(chosen))
-        offset = 0
-        for size in chosen:
-            result.put(used, size, many, result.sequences, 1, offset)
-            take(size, many)
-            offset += size
-        if sum(chosen) < capacity and len(chosen) > 1:
-            insort(groups, (capacity - sum(chosen), result.sequences, many))
-        result.sequences += many
-        result.fixed += many
-
-    # 2. best fit decreasing for what no set dominates; equal sequences are one group
-    for size in sorted(undecided, reverse=True):
-        n = undecided[size]
+
+def _best_fit(left: dict[int, int], groups: list[tuple[int, int, int]], result: Plan, used: dict[int, int]) -> None:
+    """Best fit decreasing of ``left`` into the room of ``groups`` and new sequences; equal ones are one group."""
+    capacity = result.capacity
+    for size in sorted(left, reverse=True):
+        n = left[size]
         while n:
             at = bisect_left(groups, (size,))
             if at < len(groups):
@@ -244,7 +245,25 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
                 n, full = 0, full + 1
             if full < sequences:
                 insort(groups, (room, first + full, sequences - full))
-    return result
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """Pack ``histogram`` (length -> pieces) into sequences of ``capacity``.
+
+    The instance is reduced by dominating sets and best fit packs the rest, into their room too.
+    Plain best fit packs the whole as well, and the plan of fewer sequences counts (of equal ones the
+    reduced one), so a reduction never costs a sequence.  Work and result depend on the number of
+    different lengths only: bulk steps leave at most a few groups of equal sequences for each.
+    """
+    pieces = {size: n for size, n in histogram.items() if n > 0}
+    if any(not 0 < size <= capacity for size in pieces):
+        raise ValueError(f"lengths must be 1 to {capacity}")
+    plain, reduced = Plan(capacity), Plan(capacity)
+    _best_fit(pieces, [], plain, {})
+    left, used = dict(pieces), {}
+    groups = _fix_dominating(left, reduced, used)
+    _best_fit(left, groups, reduced, used)
+    return reduced if reduced.sequences <= plain.sequences else plain
 
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
