@@ -4,6 +4,7 @@ import base64
 import bisect
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -373,3 +374,22 @@ def test_extract_odd_pages(spark):
         (1, "", 0), (2, "", 0), (3, "a b", 3), (3, "a b", 3), (4, "", 0), (5, "word word", 249_999),
     ]
     assert html_crf.extract(pages.limit(0)).count() == 0
+
+
+def test_hostile_pages_take_time_in_proportion():
+    n = 100_000
+    pages = ["<a " * n, "<b>" * n + "</i>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<!" * n, "<a x='>\"" * n, '<a x=">"' * n]
+    pages += ["<p>" * n, "<li>" * n, "<script>" * n, "</p>" * n, "<a x=" + " " * n + "'" + " '" * n + ">", "<!-- <a " * n]
+    start = time.monotonic()
+    for page in pages:
+        html_crf.leaf_blocks(page)
+    assert time.monotonic() - start < 5 * len(pages)
+
+
+def test_unclosed_quotes_do_not_leak_markup():
+    texts = lambda page: [b.text for b in html_crf.leaf_blocks(page)]
+    assert texts('<div><p title="x>One.</p><p>Two.</p></div>') == ["One.", "Two."]
+    assert texts("<p title=it's>One's.</p><p>Two's.</p>") == ["One's.", "Two's."]
+    assert texts('<p title="a > b">One.</p>') == ["One."]
+    assert texts("<p>a < b and c > d</p><!-- never") == ["a < b and c > d"]
+    assert texts("<p>One.</p><a href=x") == ["One."]

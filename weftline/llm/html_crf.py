@@ -22,14 +22,11 @@ from pyspark.sql import DataFrame
 from weftline.llm.buffers import blocks
 from weftline.llm.crf import LinearChain, fit
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
+START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+QUOTE_OR_END = re.compile("[>\"']")
+# Elements whose contents are no page text.
+RAW_TAGS = frozenset("script style noscript template textarea svg iframe object".split())
+RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW_TAGS}
 ATTRIBUTE = re.compile(r"\b(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HINT = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -197,10 +194,111 @@ def _described(name: str, rest: str, above: tuple) -> tuple:
     return (features | found if not found <= features else features), label
 
 
+class _Tags:
+    """The tags of a page in one pass, whatever the page: no part of it is searched again and again."""
+
+    def __init__(self, page: str):
+        self.page, self.last_end = page, page.rfind(">")
+        self.last_quote = {c: page.rfind(c) for c in "\"'"}
+        self.quotes = True  # until a tag's quotes turn out to run to the end of the page
+
+    def end(self, at: int) -> int:
+        """Where the tag with its attributes from ``at`` on ends.
+
+        A quote opens after an equals sign only; one that nothing closes is a letter like others, and
+        the tag ends at the first bracket.  The caller knows that there is one.
+        """
+        page, place = self.page, at
+        while self.quotes:
+            found = QUOTE_OR_END.search(page, place)
+            if found is None:
+                self.quotes = False
+                break
+            if found[0] == ">":
+                return found.end()
+            before = found.start() - 1
+            while page[before].isspace():
+                before -= 1
+            if page[before] != "=":
+                place = found.end()
+            elif found.start() == self.last_quote[found[0]]:
+                break
+            else:
+                place = page.index(found[0], found.end()) + 1
+        return page.index(">", at) + 1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """(start, end, name, closes, attributes); comments and declarations have no name."""
+        page, at = self.page, 0
+        while found := START.search(page, at):
+            start, at = found.span()
+            if found[0] == "<!--":
+                at = page.find("-->", at)
+                at = len(page) if at < 0 else at + 3
+                yield start, at, "", False, ""
+            elif self.last_end >= at:
+                if found[2] is None:
+                    at = page.index(">", at) + 1
+                    yield start, at, "", False, ""
+                    continue
+                end, name = self.end(at), found[2].lower()
+                attributes, at = page[at : end - 1], end
+                if name in RAW_TAGS and not found[1]:
+                    closing = RAW_ENDS[name].search(page, end)
+                    at = closing.end() if closing else len(page)
+                yield start, at, name, bool(found[1]), attributes
+
+
+class _Open:
+    """The open elements; the innermost one of a name, of a kind and of all is at hand."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple]] = [("", (frozenset(), False))]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+
+    def push(self, name: str, described: tuple) -> None:
+        at = len(self.stack)
+        self.stack.append((name, described))
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK_TAGS:
+            self.blocks.append(at)
+        if name in SCOPES:
+            self.scopes.append(at)
+
+    def pop(self, at: int) -> None:
+        for name, _ in self.stack[at:]:
+            self.places[name].pop()
+        del self.stack[at:]
+        for kind in (self.blocks, self.scopes):
+            while kind and kind[-1] >= at:
+                kind.pop()
+
+    def close(self, name: str) -> None:
+        """An end tag: a block closes its innermost start, a paragraph or phrase only within its block."""
+        places = self.places.get(name)
+        if not places:
+            return
+        limit = 0
+        if name == "p":
+            limit = self.blocks[-1]
+        elif name not in BLOCK_TAGS and self.scopes:
+            limit = self.scopes[-1]
+        if places[-1] >= limit:
+            self.pop(places[-1])
+
+    def make_room(self, name: str) -> None:
+        """The start of a block closes the innermost block if the two do not nest."""
+        if self.blocks and name in CLOSED_BY.get(self.stack[self.blocks[-1]][0], ()):
+            self.pop(self.blocks[-1])
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The blocks of a page with text, in page order; character references decoded."""
     found: list[Block] = []
-    stack: list[tuple[str, tuple]] = [("", (frozenset(), False))]
+    opened = _Open()
+    stack = opened.stack
     pieces: list[str] = []
     linked = 0
 
@@ -220,44 +318,30 @@ def leaf_blocks(page: str) -> list[Block]:
         if any(name == "a" for name, _ in stack[-4:]):
             linked += len(text.strip())
 
-    def pop(at: int) -> None:
-        del stack[at:]
-
     last = 0
-    for token in TOKEN.finditer(page):
-        if token.start() > last:
-            add(page[last : token.start()])
-        last = token.end()
-        if not token["name"]:
-            if token["raw"] and token["raw"].lower() not in ("svg",):
+    for start, end, name, closes, attributes in _Tags(page):
+        if start > last:
+            add(page[last:start])
+        last = end
+        if not name:
+            continue
+        if name in RAW_TAGS and not closes:
+            if name != "svg":
                 pieces.append(" ")
             continue
-        name = token["name"].lower()
-        is_block = name in BLOCK_TAGS
         if name == "br":
             pieces.append(" ")
             continue
+        is_block = name in BLOCK_TAGS
         if is_block:
             flush()
-        if token["close"]:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at][0] == name:
-                    pop(at)
-                    break
-                if name == "p" or (stack[at][0] in SCOPES and not is_block):
-                    if stack[at][0] in BLOCK_TAGS:
-                        break
+        if closes:
+            opened.close(name)
             continue
         if is_block:
-            for at in range(len(stack) - 1, 0, -1):
-                above = stack[at][0]
-                if above in CLOSED_BY and name in CLOSED_BY[above]:
-                    pop(at)
-                    break
-                if above in BLOCK_TAGS:
-                    break
-        if name not in VOID_TAGS and not token["rest"].endswith("/"):
-            stack.append((name, _described(name, token["rest"], stack[-1][1])))
+            opened.make_room(name)
+        if name not in VOID_TAGS and not attributes.endswith("/"):
+            opened.push(name, _described(name, attributes, stack[-1][1]))
     if last < len(page):
         rest = page[last:]
         add(rest[: rest.rfind("<")] if re.search(r"<[a-zA-Z/!][^<>]*\Z", rest) else rest)
