@@ -104,6 +104,9 @@ def test_a_build_side_that_does_not_fit_is_merged(spark, plan, no_auto_broadcast
         joined = joins.join_shuffle_hash(fact, side, "k", partition_bytes=limit)
         assert name in plan(joined) and joined.count() == 1000
     assert "SortMergeJoin" in plan(joins.join_shuffle_hash(fact, even, "k", partition_bytes=100))
+    two = even.selectExpr("k", "k % 2 AS j", "name")
+    pairs = joins.join_shuffle_hash(fact.selectExpr("k", "k % 2 AS j"), two, ["k", "j"])
+    assert "ShuffledHashJoin" in plan(pairs) and pairs.count() == 1000
 
 
 def test_star_join_order_does_not_change_rows(spark, rows):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.layout import build_bytes
-from weftline.operators.skew import BROADCAST_LIMIT_BYTES, SKETCHED, Heat, deal, sketch
+from weftline.operators.skew import BROADCAST_LIMIT_BYTES, deal, sketch
 
 HOWS = ("inner", "left", "right", "outer")
 SALTED_HOWS = ("inner", "left", "left_anti")
@@ -85,7 +85,7 @@ def join_broadcast(
 
 
 def join_shuffle_hash(
-    big: DataFrame, small: DataFrame, key: str, partition_bytes: int = 64 * 1024 * 1024
+    big: DataFrame, small: DataFrame, key: str | Sequence[str], partition_bytes: int = 64 * 1024 * 1024
 ) -> DataFrame:
     """Partition both sides by the key and build hash tables from ``small``.
 
@@ -93,7 +93,8 @@ def join_shuffle_hash(
     or that of its hottest key is above ``partition_bytes``, both sides are merged instead.
     """
     size = build_bytes(small)
-    heat = sketch(small, small[key]) if isinstance(small.schema[key].dataType, SKETCHED) else Heat(1, 0, {})
+    keys = [key] if isinstance(key, str) else list(key)
+    heat = sketch(small, F.xxhash64(*[F.col(k) for k in keys]))
     partitions = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hottest = max(heat.hot.values(), default=0) / max(1, heat.rows)
     fits = size * max(hottest, 1 / partitions) <= partition_bytes

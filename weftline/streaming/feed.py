@@ -51,8 +51,7 @@ class Feed:
     """One running query over an inbox folder; rows that are put there are processed at once.
 
     ``build`` makes the query from the stream of arrived rows; its results are appended to files at
-    ``out``.  The query starts with the first rows and is stopped at the end of the ``with`` block;
-    another feed with the same ``inbox`` and ``out`` goes on where it ended.
+    ``out``.  The query starts with the first rows and is stopped at the end of the ``with`` block.
     """
 
     def __init__(self, spark: SparkSession, schema: T.StructType, build: Build, purpose: str):
