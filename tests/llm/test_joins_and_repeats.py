@@ -106,6 +106,52 @@ def test_repeats_of_nothing(no_docs):
     assert repeats.remove_repeats(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("hot", [500, 3])
+def test_repeats_around_a_common_passage_and_among_near_copies(spark, counted, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_DOCUMENTS", hot)
+    rng = random.Random(6)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(10**5)}" for _ in range(n))
+
+    passage, base = prose(25), prose(60).split()
+    rows = [(key, f"{prose(10)} {passage} {prose(10)}") for key in range(40)]
+    for key in range(40, 80):  # near copies, each with two words of its own
+        words = list(base)
+        for at in rng.sample(range(60), 2):
+            words[at] = f"n{key}"
+        rows.append((key, " ".join(words)))
+    rows += [(key, "ab" * rng.randrange(20, 200)) for key in range(80, 100)]  # one gram, then another, and so on
+    rows += [(40, rows[50][1] + passage), (None, passage)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert counted(repeats.remove_repeats(docs), *REPEAT_COLUMNS) == brute.without_repeats(rows)
+
+
+def test_second_grams_depend_on_the_window_alone():
+    rng = random.Random(3)
+    window = bytes(rng.choices(b"ab c", k=50))
+    found = set()
+    for _ in range(5):
+        before, after = (bytes(rng.choices(b"xyz", k=rng.randrange(30))) for _ in range(2))
+        data = np.frombuffer(before + window + after, np.uint8)
+        at = np.array([len(before)])
+        grams = repeats._grams(data)[len(before) : len(before) + 35]
+        second = repeats.second_grams(data, at, grams.min(keepdims=True), 50)
+        found.add((int(grams.min()), int(second[0])))
+        assert second[0] == np.unique(grams)[1]
+    assert len(found) == 1
+    same = np.frombuffer(b"a" * 60, np.uint8)
+    assert repeats.second_grams(same, np.array([0]), repeats._grams(same)[:1], 50)[0] == np.iinfo(np.uint64).max
+
+
+def test_merged_spans_of_several_texts():
+    columns = ([1, 1, 1, 2, 1], [5, 5, 5, 5, 6], [0, 10, 50, 10, 20], [20, 30, 60, 20, 25])
+    found = repeats._merged(*(np.array(c, np.int64) for c in columns))
+    assert found.tolist() == [(1, 5, 0, 30), (1, 5, 50, 60), (1, 6, 20, 25), (2, 5, 10, 20)]
+    assert not len(repeats._merged(*(np.zeros(0, np.int64) for _ in range(4))))
+
+
 def test_merge_joins_touching_spans():
     start, end = repeats.merge(np.array([10, 0, 5, 30]), np.array([20, 5, 12, 31]))
     assert (start.tolist(), end.tolist()) == ([0, 30], [20, 31])
