@@ -366,6 +366,36 @@ def test_blocks_and_references():
     assert html_crf.main_text(page, html_crf.trained()).split("\n\n") == texts[2:10]
 
 
+ONE, TWO = "The ferry was late again, so we walked.", "By noon the fog had gone and the hills stood clear."
+BOTH = f"<p>{ONE}</p><p>{TWO}</p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f'<article class="content-comments-enabled">{BOTH}</article>', [ONE, TWO]),
+        (f'<div class="main has-sidebar">{BOTH}</div>', [ONE, TWO]),
+        (f"<html><body><p>{ONE}</p></body></html>", [ONE]),
+        (ONE, [ONE]),
+        (f"<html><head><title>Ferries</title></head><body>{BOTH}", [ONE, TWO]),
+        (f'<body class="with-sidebar no-comments"><nav><a href=/>Home</a></nav><main>{BOTH}</main>', [ONE, TWO]),
+        (f'<div class="layout-sidebar-left"><div class="sidebar"><p>{TWO}</p></div><article><p>{ONE}</p></article></div>', [ONE]),
+        (f"<article>{BOTH}</article><div class='footer-content'><p>{ONE}</p></div>", [ONE, TWO]),
+        (f"<main>{BOTH}<div id=post-comments><p>{ONE}</p></div></main>", [ONE, TWO]),
+        (f"<table><tr><td><a href=/>Home</a></td><td>{BOTH}</td></tr></table>", [ONE, TWO]),
+        ("<body><nav><a href=/>Home</a> <a href=/x>News</a></nav>", []),
+        ('<ul><li><a href="/">Home</a><li><a href="/n">News</a></ul>', []),
+    ],
+)
+def test_main_text_of_other_layouts(page, want):
+    assert [t for t in html_crf.main_text(page, html_crf.trained()).split("\n\n") if t] == want
+
+
+def test_names_of_states_and_of_parts():
+    groups = {n: html_crf._groups(n) for n in ("has-sidebar", "commentsEnabled", "footer-content", "main-nav", "post-body", "sidebar")}
+    assert list(groups.values()) == [set(), set(), {"foot"}, {"menu"}, {"main"}, {"side"}]
+
+
 def test_extract_odd_pages(spark):
     rows = [(1, None), (2, ""), (3, "<article><p>a b</p>"), (3, "<article><p>a b</p>"), (4, "<p"), (5, "<article><p>" + "word " * 50_000)]
     pages = spark.createDataFrame([(k, p, "old", -1) for k, p in rows], "page_id long, html string, text string, n_chars int")
@@ -393,3 +423,9 @@ def test_unclosed_quotes_do_not_leak_markup():
     assert texts('<p title="a > b">One.</p>') == ["One."]
     assert texts("<p>a < b and c > d</p><!-- never") == ["a < b and c > d"]
     assert texts("<p>One.</p><a href=x") == ["One."]
+
+
+def test_a_slash_in_a_value_closes_nothing():
+    linked = lambda page: [(b.text, b.linked) for b in html_crf.leaf_blocks(page)]
+    assert linked("<a href=/>Home</a><p><a href=/x/y/>News</a>") == [("Home", 4), ("News", 4)]
+    assert linked('<a id="x"/>One<a name=x />, two<p><i/>Three') == [("One, two", 0), ("Three", 0)]

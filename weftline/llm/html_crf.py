@@ -1,8 +1,8 @@
 """Main text of web pages: a linear-chain random field over the leaf blocks of the page.
 
 A page is cut into leaf blocks: runs of text between the tags that start or end a block.  Each block
-is described by its ancestors (tags, and words in their class, id and role) and by its text.  The
-field, trained on the labelled pages below, labels every block main text or not; Viterbi decoding
+is described by its ancestors (tags, and what the names in their class, id and role say), by its text
+and by whether the page has any regions at all.  The field, trained on the labelled pages below, labels every block main text or not; Viterbi decoding
 picks the labels of the whole page at once.
 """
 
@@ -71,14 +71,24 @@ GROUPS = {
     "meta": "meta byline date tags category",
 }
 WORD_GROUP = {word: group for group, words in GROUPS.items() for word in words.split()}
+# Words of names that tell a state of the element, not what it is.
+STATES = frozenset("has with no without is enabled disabled open closed layout".split())
 CONTENT_FEATURES = ("tag:article", "tag:main", "in:main")
 FEATURE = {
     name: i
     for i, name in enumerate(
         ["one", *(f"tag:{t}" for t in TAG_FEATURES), *(f"in:{g}" for g in GROUPS)]
-        + ["long", "short", "stops", "links", "all links", "copyright", "words", "outside", "header outside"]
+        + ["long", "short", "stops", "links", "all links", "copyright", "words", "outside", "header outside", "plain"]
     )
 }
+REGIONS = frozenset(
+    FEATURE[name]
+    for name in (
+        *(f"tag:{t}" for t in "nav header footer aside form button label select option".split()),
+        *(f"in:{g}" for g in GROUPS if g != "meta"),
+        *CONTENT_FEATURES,
+    )
+)
 
 # Words and class names of the training pages.
 WORDS = (
@@ -168,6 +178,14 @@ def labelled_page(random: Random) -> str:
     if random.random() < 0.15:
         before = after = ""
     head = random.choice((f"<html><head><title>{text(8)}</title></head>", ""))
+    kind = random.random()
+    if kind < 0.1:  # no regions at all
+        plain = "".join(prose() for _ in range(random.randint(1, 5))) if random.random() < 0.7 else text()
+        return f"{head}<body data-label=1>{plain}"
+    if kind < 0.18:  # regions are cells of a table
+        links = " ".join(link() for _ in range(random.randint(1, 5)))
+        cells = f"<td data-label=0>{links}</td><td data-label=1>{''.join(prose() for _ in range(random.randint(1, 5)))}</td>"
+        return f"{head}<body><table><tr>{cells}</tr></table>{after}"
     return f"{head}<body data-label={int(wrap == 'bare')}>{before}{body}{after}"
 
 
@@ -178,6 +196,19 @@ class Block:
         self.text, self.linked, self.features, self.label = text, linked, features, label
 
 
+def _groups(name: str) -> set[str]:
+    """The regions that one name of a class, id or role speaks of.
+
+    ``has-sidebar`` or ``comments-enabled`` say nothing of the element itself, and the text of a
+    sidebar or the content of a footer belongs there.
+    """
+    words = [word.lower() for word in HINT.findall(name)]
+    if not STATES.isdisjoint(words):
+        return set()
+    groups = {WORD_GROUP[word] for word in words if word in WORD_GROUP}
+    return groups - {"main"} if groups - {"main", "meta"} else groups
+
+
 def _described(name: str, rest: str, above: tuple) -> tuple:
     """Features of an element's ancestors and itself, and whether it is marked as main text."""
     features, label = above
@@ -188,9 +219,8 @@ def _described(name: str, rest: str, above: tuple) -> tuple:
             if key.lower() == "data-label":
                 label = value == "1"
                 continue
-            for word in HINT.findall(value):
-                if group := WORD_GROUP.get(word.lower()):
-                    found.add(FEATURE[f"in:{group}"])
+            if name not in ("html", "body"):
+                found |= {FEATURE[f"in:{group}"] for each in value.split() for group in _groups(each)}
     return (features | found if not found <= features else features), label
 
 
@@ -294,6 +324,13 @@ class _Open:
             self.pop(self.blocks[-1])
 
 
+def _closes_itself(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is no part of a value without quotes, as in ``href=/``."""
+    if not attributes.endswith("/"):
+        return False
+    return attributes[-2:-1] in ("", '"', "'") or "=" not in attributes.split()[-1]
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The blocks of a page with text, in page order; character references decoded."""
     found: list[Block] = []
@@ -340,7 +377,7 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         if is_block:
             opened.make_room(name)
-        if name not in VOID_TAGS and not attributes.endswith("/"):
+        if name not in VOID_TAGS and not _closes_itself(attributes):
             opened.push(name, _described(name, attributes, stack[-1][1]))
     if last < len(page):
         rest = page[last:]
@@ -352,11 +389,15 @@ def leaf_blocks(page: str) -> list[Block]:
 def features(page_blocks: list[Block]) -> np.ndarray:
     """One row for each block."""
     rows = np.zeros((len(page_blocks), len(FEATURE)))
+    body = [b for b in page_blocks if FEATURE["tag:title"] not in b.features]
+    plain = all(REGIONS.isdisjoint(b.features) for b in body)
+    plain = plain and 2 * sum(b.linked for b in body) < sum(len(b.text) for b in body)
     for row, block in zip(rows, page_blocks, strict=True):
         row[list(block.features)] = 1
         row[FEATURE["one"]] = 1
         outside = not any(FEATURE[name] in block.features for name in CONTENT_FEATURES)
         row[FEATURE["outside"]] = outside
+        row[FEATURE["plain"]] = plain and FEATURE["tag:title"] not in block.features and block.linked <= 0.9 * len(block.text)
         row[FEATURE["header outside"]] = outside and FEATURE["tag:header"] in block.features
         n, words = len(block.text), block.text.count(" ") + 1
         row[FEATURE["long"]] = min(1.0, math.log1p(n) / 7)
