@@ -42,6 +42,25 @@ def test_near_copies_that_link_only_through_others(spark, counted):
     assert counted(prefix_join.similar_components(docs), "doc_id", "n_shingles", "component_id") == brute.similar(rows)
 
 
+@pytest.mark.parametrize(("percent", "width", "cell"), [(90, 3, 5000), (80, 5, 2), (60, 1, 2)])
+def test_components_of_copies_that_share_passages(spark, counted, monkeypatch, percent, width, cell):
+    """Copies near and far of a few texts, all with one passage: many components meet in a shingle."""
+    rng = random.Random(percent)
+    monkeypatch.setattr(prefix_join, "TOKEN_ROWS", cell)
+    shared, rows = [f"s{i}" for i in range(60)], []
+    for family in range(6):
+        base = [f"f{family}x{i}" for i in range(rng.randint(30, 200))] + shared
+        rows += [(len(rows) + i, " ".join(base)) for i in range(family)]
+        for _ in range(25):
+            words = list(base)
+            for _ in range(rng.randint(1, 9)):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(40)}"
+            rows.append((len(rows), " ".join(words[rng.randint(0, 9) :])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = prefix_join.similar_components(docs, percent=percent, width=width)
+    assert counted(found, *found.columns) == brute.similar(rows, percent, width)
+
+
 def test_rows_link_by_their_sets_not_by_their_keys(spark, counted):
     rng = random.Random(8)
 

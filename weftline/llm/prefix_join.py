@@ -8,11 +8,13 @@ a fixed size; a shared counter only makes a shingle look more common, and any or
 1. Documents with equal sets become one class, whose id is a 128-bit hash of the set.  Links join
    classes, never keys: a key may have several sets or be null.  Components get their keys last.
 2. Shingles that only one class has in its prefix can link nothing and are dropped from prefixes.
-3. Classes with equal size and equal remaining prefix become a group.  Groups are paired by their
-   prefixes and filtered by size and by place in the prefix, once for all their members.
-4. Group pairs are expanded to members.  First every member is checked against the smallest of its
-   pair of groups; then only members of different components meet, and only if bitmaps of their
-   sets leave the similarity possible.  So a large group of near copies costs one check a member.
+3. Classes with equal size and equal remaining prefix become a group.  First each member of a group
+   is checked against its smallest, and that one against a few of the smallest of its shingles:
+   a number of checks in proportion to the classes, after which most copies are in one component.
+4. Then groups, apart by component, are paired by their prefixes across components only, filtered by
+   size, place in the prefix and bitmap, and expanded to members, which are checked in turn.  A link
+   within a component adds nothing, and any other has its first common shingle in both prefixes, so
+   no component is missed.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ SLICES = 256
 FILTER_BITS = 25  # bits of the filter of sets to read: 4 MB
 PERCENT = 90
 WORDS = 3
+TOKEN_ROWS = 5000  # units of a common shingle that meet others in one place, about
 CELL_ROWS = 500  # sets that are compared with one set in one place, about
 BITMAP_WORDS = 4  # 64-bit words of a set's bitmap
 
@@ -275,34 +278,16 @@ def _needed(a, b, percent: int):
     return F.ceil(percent * (a + b) / F.lit(100 + percent))
 
 
-def _group_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups (g <= h) that may hold a link, by a common prefix shingle, sizes and places."""
-    rows = groups.select("group", "n", "members", F.inline("prefix"))
-    left = rows.select("token", *(F.col(c).alias(f"{c}_a") for c in ("group", "n", "place")))
-    right = rows.select("token", *(F.col(c).alias(f"{c}_b") for c in ("group", "n", "place")))
-    reach = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    pairs = left.join(
-        right,
-        (left["token"] == right["token"])
-        & (F.col("group_a") < F.col("group_b"))
-        & (F.col("n_a") * 100 >= F.col("n_b") * percent)
-        & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-        & (reach >= _needed(F.col("n_a"), F.col("n_b"), percent)),
-    ).select(F.col("group_a").alias("g"), F.col("group_b").alias("h"))
-    first = F.array_min(F.transform("prefix", lambda x: x["place"]))
-    inner = (
-        groups.where("members > 1")
-        .where((F.col("n") - first >= _needed(F.col("n"), F.col("n"), percent)))
-        .where(_needed(F.col("n"), F.col("n"), percent) < F.col("n"))  # different sets of one size
-    )
-    return pairs.unionByName(inner.select(F.col("group").alias("g"), F.col("group").alias("h"))).distinct()
-
-
 def _may_link(a: str, b: str, percent: int):
     """Whether bitmaps and sizes (columns ``bits``, ``n`` with suffixes) leave a link possible."""
     n = F.col(f"n{a}") + F.col(f"n{b}")
+    return _distance(a, b) * (100 + percent) <= n * (100 - percent)
+
+
+def _distance(a: str, b: str):
+    """The number of bits in which two bitmaps differ."""
     words = (F.col(f"bits{a}")[i].bitwiseXOR(F.col(f"bits{b}")[i]) for i in range(BITMAP_WORDS))
-    return sum(map(F.bit_count, words), F.lit(0)) * (100 + percent) <= n * (100 - percent)
+    return sum(map(F.bit_count, words), F.lit(0))
 
 
 def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
@@ -353,6 +338,93 @@ def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int,
     return materialize(cells.mapInArrow(verify, schema), "links")
 
 
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """Candidates ``a, b`` of the first round: a few for each class, whatever meets in a shingle.
+
+    Members of a group meet its smallest class.  That class meets, of the smallest classes of its
+    shingles and size classes (its own and both beside it), the one whose bitmap is nearest and the
+    smallest that the bitmaps allow.
+    """
+    leaders = members.groupBy("group").agg(F.min("node").alias("leader"))
+    led = members.join(leaders, "group").select("node", "leader", "n", "bits", "prefix")
+    led = materialize(led, "led")
+    columns = ("node", "n", "bits")
+    heads = led.where("node = leader")
+    inner = led.where("node <> leader").select("leader", *(F.col(c).alias(f"{c}_b") for c in columns))
+    inner = inner.join(heads.select(*(F.col(c).alias(f"{c}_a") for c in columns)), F.col("leader") == F.col("node_a"))
+    inner = inner.where(_may_link("_a", "_b", percent)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    step = max(np.log(100 / percent), 0.01)  # sets of one size class and of those beside it can link
+    rows = heads.withColumn("size", F.floor(F.log("n") / F.lit(float(step)))).select(
+        "node", "size", F.explode("prefix.token").alias("token")
+    )
+    centres = rows.groupBy("token", "size").agg(F.min("node").alias("centre"))
+    near = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size")
+    met = rows.select("node", "token", near).join(centres, ["token", "size"]).where("node <> centre")
+    met = met.select("node", "centre").distinct()
+    met = met.join(heads.select(*(F.col(c).alias(f"{c}_a") for c in columns)), F.col("node") == F.col("node_a"))
+    met = met.join(heads.select(*(F.col(c).alias(f"{c}_b") for c in columns)), F.col("centre") == F.col("node_b"))
+    met = met.where(_may_link("_a", "_b", percent)).select("node_a", "centre", _distance("_a", "_b").alias("far"))
+    best = met.groupBy("node_a").agg(F.min_by("centre", "far").alias("nearest"), F.min("centre").alias("smallest"))
+    outer = best.select(
+        F.col("node_a").alias("a"), F.explode(F.array_distinct(F.array("nearest", "smallest"))).alias("b")
+    )
+    both = inner.unionByName(outer)
+    return both.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).select("a", "b").distinct()
+
+
+def _across(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Candidates ``a, b`` of the second round: all that may link two components of the first.
+
+    A unit is what a group has of one component.  Units of different components meet in a shingle;
+    of the largest component of a shingle one side only is taken, which is cut into cells, so that
+    a large component costs one meeting for each unit outside it.
+    """
+    named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    units = named.groupBy("group", "component").agg(F.min("node").alias("unit"), F.count("*").alias("many"))
+    named = named.join(units, ["group", "component"]).select("unit", "node", "component", "n", "bits", "many", "prefix")
+    named = materialize(named, "units")
+    rows = named.where("node = unit").select(
+        "unit", "component", "n", "many", F.when(F.col("many") == 1, F.col("bits")).alias("bits"), F.inline("prefix")
+    )
+    tokens = rows.groupBy("token", "component").agg(F.count("*").alias("units"))
+    tokens = tokens.groupBy("token").agg(
+        F.max_by("component", "units").alias("major"), F.sum("units").alias("units"), F.count("*").alias("components")
+    )
+    tokens = tokens.where("components > 1").select(
+        "token", "major", F.ceil(F.col("units") / TOKEN_ROWS).cast("int").alias("cells")
+    )
+    rows = rows.join(materialize(tokens, "open-shingles"), "token")
+    columns = ("unit", "component", "n", "many", "bits", "place")
+    cell = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell")
+    left = rows.where("component <> major").select("token", cell, *(F.col(c).alias(f"{c}_a") for c in columns))
+    cell = F.pmod(F.xxhash64("unit"), F.col("cells")).cast("int").alias("cell")
+    right = rows.select("token", cell, "major", *(F.col(c).alias(f"{c}_b") for c in columns))
+    reach = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    met = left.join(
+        right,
+        (left["token"] == right["token"])
+        & (left["cell"] == right["cell"])
+        & (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("major")) | (F.col("unit_a") < F.col("unit_b")))
+        & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+        & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+        & (reach >= _needed(F.col("n_a"), F.col("n_b"), percent))
+        & F.coalesce(_may_link("_a", "_b", percent), F.lit(True)),
+    )
+    ends = (F.struct(F.col(f"many{x}").alias("many"), F.col(f"unit{x}").alias("unit")) for x in ("_a", "_b"))
+    ends = F.array_sort(F.array(*ends))  # the smaller unit is expanded first
+    met = met.select(ends.alias("ends")).selectExpr("ends[0].unit AS u", "ends[1].unit AS v")
+    met = materialize(met.distinct(), "unit-pairs")
+
+    columns = ("node", "n", "bits")
+    few = met.join(named.select(F.col("unit").alias("u"), *(F.col(c).alias(f"{c}_a") for c in columns)), "u")
+    candidates = few.join(named.select(F.col("unit").alias("v"), *(F.col(c).alias(f"{c}_b") for c in columns)), "v")
+    candidates = candidates.where(_may_link("_a", "_b", percent))
+    a, b = F.least("node_a", "node_b"), F.greatest("node_a", "node_b")
+    return candidates.select(a.alias("a"), b.alias("b")).distinct()
+
+
 def similar_components(
     df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = WORDS
 ) -> DataFrame:
@@ -370,70 +442,25 @@ def similar_components(
     rarity = spark.sparkContext.broadcast(_rarity(counted))  # 2 ** COUNTER_BITS bytes
     documents = counted.where("slice IS NULL").select("key", "n", "high", "low", "bits")
     classes = documents.where("n > 0").groupBy("high", "low").agg(
-        F.min("key").alias("key"), F.first("bits").alias("bits")
+        F.min("key").alias("key"), F.first("bits").alias("bits"), F.count("*").alias("copies")
     )
-    # the number stands for (high, low) from here on; it is written once, so all later jobs read the same
-    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # The number stands for (high, low) from here on; it is written once, so all later jobs read the same.
+    # Classes of many copies have the smaller numbers: they are what others are most likely near to.
+    few = F.lit(127) - F.least(F.floor(6 * F.log2("copies")), F.lit(127))
+    number = F.shiftleft(few.cast("long"), 56) + F.monotonically_increasing_id()
+    classes = materialize(classes.withColumn("node", number).drop("copies"), "classes")
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = _shared_prefixes(rows, rarity, width, percent, buckets)
     entry = F.struct("place", F.col("token"))
     prefixes = shared.groupBy("high", "low", "n").agg(F.sort_array(F.collect_list(entry)).alias("prefix"))
-    group_id = F.md5(F.concat_ws(",", F.col("n"), F.to_json("prefix")))
-    prefixes = prefixes.join(classes, ["high", "low"]).withColumn("group", group_id)
+    group = F.unhex(F.md5(F.concat_ws(",", F.col("n"), F.to_json("prefix"))))
+    prefixes = prefixes.join(classes, ["high", "low"]).withColumn("group", group)
     members = materialize(prefixes.select("node", "group", "n", "prefix", "bits"), "members")
-    groups = members.groupBy("group").agg(
-        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("members"),
-        F.min(F.struct("node", "n", "bits")).alias("leader"),
-    )
-    groups = materialize(groups, "groups")
-    pairs = materialize(_group_pairs(groups, percent), "group-pairs")
-
-    # first round: every member of a pair of groups against the smallest of them all
-    leaders = groups.select("group", "leader")
-    led = (
-        pairs.join(leaders.withColumnsRenamed({"group": "g", "leader": "leader_g"}), "g")
-        .join(leaders.withColumnsRenamed({"group": "h", "leader": "leader_h"}), "h")
-        .select("g", "h", F.least("leader_g", "leader_h").alias("leader"))
-    )
-    sides = led.select(F.col("g").alias("group"), "leader").unionByName(
-        led.select(F.col("h").alias("group"), "leader")
-    )
-    sides = sides.select("group", *(F.col(f"leader.{c}").alias(f"{c}_a") for c in ("node", "n", "bits")))
-    nodes = members.select("group", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "bits")))
-    to_leader = (
-        nodes.join(sides.distinct(), "group")
-        .where((F.col("node_a") != F.col("node_b")) & _may_link("_a", "_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    )
-    links = _links(materialize(to_leader.distinct(), "pairs"), rows, classes, percent, width)
-    labels = components(links)
 
-    # second round: members of different components, where the bitmaps leave a link possible
-    named = members.select("node", "group", "n", "bits").join(labels, "node", "left")
-    named = materialize(named.withColumn("component", F.coalesce("component", "node")), "named")
-    spans = named.groupBy("group").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")
-    )
-    open_pairs = (
-        pairs.join(spans.select(F.col("group").alias("g"), *(F.col(c).alias(f"{c}_g") for c in ("low", "high", "many"))), "g")
-        .join(spans.select(F.col("group").alias("h"), *(F.col(c).alias(f"{c}_h") for c in ("low", "high", "many"))), "h")
-        .where("NOT (low_g = high_g AND low_h = high_h AND low_g = low_h)")
-        .where("many_g + many_h > 2")  # two single members have met in the first round
-        .select("g", "h")
-    )
-    columns = ("node", "component", "bits", "n")
-    left = open_pairs.join(named.select(F.col("group").alias("g"), *(F.col(c).alias(f"{c}_a") for c in columns)), "g")
-    right = named.select(F.col("group").alias("h"), *(F.col(c).alias(f"{c}_b") for c in columns))
-    candidates = left.join(
-        right,
-        (left["h"] == right["h"])
-        & (F.col("component_a") != F.col("component_b"))
-        & (F.col("node_a") != F.col("node_b"))
-        & ((F.col("g") != left["h"]) | (F.col("node_a") < F.col("node_b")))
-        & _may_link("_a", "_b", percent),
-    ).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    more = _links(materialize(candidates.distinct(), "pairs"), rows, classes, percent, width)
+    links = _links(materialize(_stars(members, percent), "pairs"), rows, classes, percent, width)
+    labels = components(links)
+    more = _links(materialize(_across(members, labels, percent), "pairs"), rows, classes, percent, width)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
