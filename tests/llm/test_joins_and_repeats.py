@@ -49,7 +49,7 @@ def test_components_of_copies_that_share_passages(spark, counted, monkeypatch, p
     monkeypatch.setattr(prefix_join, "TOKEN_ROWS", cell)
     shared, rows = [f"s{i}" for i in range(60)], []
     for family in range(6):
-        base = [f"f{family}x{i}" for i in range(rng.randint(30, 200))] + shared
+        base = [f"f{family}x{i}" for i in range((40, 90, 200, 230, 270, 600)[family])] + shared
         rows += [(len(rows) + i, " ".join(base)) for i in range(family)]
         for _ in range(25):
             words = list(base)
@@ -85,6 +85,12 @@ def test_bitmaps_never_exclude_a_link():
     b = np.unique(np.r_[a[5:], rng.integers(0, 2**63, 6).astype(np.uint64)])
     bits = sum((x ^ y).bit_count() for x, y in zip(*((v & (2**64 - 1) for v in prefix_join.bitmap(s)) for s in (a, b))))
     assert bits <= len(np.setxor1d(a, b))
+    for n, m in ((300, 310), (500, 520), (5000, 4000), (80000, 70000)):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.r_[a[: m - m // 20], rng.integers(0, 2**63, m // 20).astype(np.uint64)])
+        apart = prefix_join.bits_apart(prefix_join.wide_bitmap(a), prefix_join.wide_bitmap(b))
+        assert 0 < apart <= len(np.setxor1d(a, b))
+        assert apart == prefix_join.bits_apart(prefix_join.wide_bitmap(b), prefix_join.wide_bitmap(a))
 
 
 def test_run_index_statistics_and_counts():

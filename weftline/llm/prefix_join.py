@@ -39,6 +39,7 @@ WORDS = 3
 TOKEN_ROWS = 5000  # units of a common shingle that meet others in one place, about
 CELL_ROWS = 500  # sets that are compared with one set in one place, about
 BITMAP_WORDS = 4  # 64-bit words of a set's bitmap
+WIDE_BITS = 1 << 16  # bits of the wide bitmap of a large set, at most
 
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
@@ -81,8 +82,26 @@ def bitmap(shingles: np.ndarray) -> list[int]:
     return np.packbits(bits & 1).view(np.int64).tolist()
 
 
+def wide_bitmap(shingles: np.ndarray) -> bytes:
+    """As ``bitmap`` with a bit or two for each shingle, a power of two; empty where that is no more."""
+    bits = min(WIDE_BITS, 1 << max(0, len(shingles) - 1).bit_length())
+    if bits <= 64 * BITMAP_WORDS:
+        return b""
+    places = (shingles >> np.uint64(20)) & np.uint64(bits - 1)
+    return np.packbits(np.bincount(places, minlength=bits) & 1).tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """The bits in which two wide bitmaps differ; halves of the wider one are folded by parity first."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Rows of documents (key, n, high, low, bits) and, apart, of each task's counters (slice, counts).
+    """Rows of documents (key, n, high, low, bits, wide) and, apart, of each task's counters (slice, counts).
 
     A task counts to 255, which is as common as a shingle of its few documents needs to look.
     """
@@ -107,10 +126,11 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                     pa.array([h[0] for h in hashes], pa.int64()),
                     pa.array([h[1] for h in hashes], pa.int64()),
                     pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
+                    pa.array([wide_bitmap(s) for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                names=["key", "n", "high", "low", "bits", "slice", "counts"],
+                names=["key", "n", "high", "low", "bits", "wide", "slice", "counts"],
             )
         for number, part in enumerate(np.split(counts, SLICES) if kind is not None else ()):
             if part.any():
@@ -119,13 +139,14 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                         pa.nulls(1, kind),
                         *(pa.nulls(1, pa.int64()) for _ in range(3)),
                         pa.nulls(1, pa.list_(pa.int64())),
+                        pa.nulls(1, pa.binary()),
                         pa.array([number], pa.int32()),
                         pa.array([zlib.compress(part, 1)], pa.binary()),
                     ],
-                    names=["key", "n", "high", "low", "bits", "slice", "counts"],
+                    names=["key", "n", "high", "low", "bits", "wide", "slice", "counts"],
                 )
 
-    columns = "n long, high long, low long, bits array<bigint>, slice int, counts binary"
+    columns = "n long, high long, low long, bits array<bigint>, wide binary, slice int, counts binary"
     return df.mapInArrow(scan, f"{schema}, {columns}")
 
 
@@ -290,12 +311,31 @@ def _distance(a: str, b: str):
     return sum(map(F.bit_count, words), F.lit(0))
 
 
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``a, b`` of ``pairs`` whose wide bitmaps leave a link possible."""
+    for side in ("a", "b"):
+        wide = classes.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "wide")))
+        pairs = pairs.join(wide, side)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "wide_a", "wide_b"))
+            keep = [
+                not x or not y or bits_apart(x, y) * (100 + percent) <= (n + m) * (100 - percent)
+                for n, m, x, y in zip(*columns, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(compare, "a long, b long")
+
+
 def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
     """The ``a, b`` of ``pairs`` whose sets are similar enough; the sets are read from the texts anew.
 
     A filter keeps most texts without a pair from being sent at all.  Sets travel to the cell of the
     set they are compared with; a set with very many others has several cells.
     """
+    pairs = materialize(_near(pairs, classes, percent), "near-pairs")
     if pairs.isEmpty():
         return pairs
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -440,9 +480,10 @@ def similar_components(
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     counted = materialize(_counted(rows, "key", width), "shingles")
     rarity = spark.sparkContext.broadcast(_rarity(counted))  # 2 ** COUNTER_BITS bytes
-    documents = counted.where("slice IS NULL").select("key", "n", "high", "low", "bits")
+    documents = counted.where("slice IS NULL").select("key", "n", "high", "low", "bits", "wide")
     classes = documents.where("n > 0").groupBy("high", "low").agg(
-        F.min("key").alias("key"), F.first("bits").alias("bits"), F.count("*").alias("copies")
+        F.min("key").alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+        F.first("wide").alias("wide"), F.count("*").alias("copies"),
     )
     # The number stands for (high, low) from here on; it is written once, so all later jobs read the same.
     # Classes of many copies have the smaller numbers: they are what others are most likely near to.
@@ -455,7 +496,7 @@ def similar_components(
     entry = F.struct("place", F.col("token"))
     prefixes = shared.groupBy("high", "low", "n").agg(F.sort_array(F.collect_list(entry)).alias("prefix"))
     group = F.unhex(F.md5(F.concat_ws(",", F.col("n"), F.to_json("prefix"))))
-    prefixes = prefixes.join(classes, ["high", "low"]).withColumn("group", group)
+    prefixes = prefixes.join(classes.drop("n", "wide"), ["high", "low"]).withColumn("group", group)
     members = materialize(prefixes.select("node", "group", "n", "prefix", "bits"), "members")
 
     links = _links(materialize(_stars(members, percent), "pairs"), rows, classes, percent, width)
@@ -470,7 +511,7 @@ def similar_components(
         "high", "low", F.coalesce("least", "key").alias("class_component")
     )
     named = materialize(named, "class-components")
-    documents = documents.drop("bits")
+    documents = documents.drop("bits", "wide")
     alone = documents.where("n = 0").withColumn("class_component", F.col("key"))
     linked = documents.where("n > 0").join(named, ["high", "low"])
     return alone.unionByName(linked).select(
