@@ -360,11 +360,12 @@ def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int,
         cell, one = None, None
         for batch in batches:
             keep = []
-            columns = (batch.column(c).to_pylist() for c in ("a", "part", "role", "shingles"))
-            for a, part, role, shingles in zip(*columns, strict=True):
-                other = np.frombuffer(shingles, np.uint64)
+            columns = (batch.column(c).to_pylist() for c in ("a", "part", "role"))
+            data, ends = text_bytes(batch.column("shingles"))
+            for a, part, role, start, end in zip(*columns, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                other = data[start:end].view(np.uint64)  # not a copy: sets may be large
                 if role == 0:
-                    cell, one = (a, part), other
+                    cell, one = (a, part), other.copy()
                     keep.append(False)
                     continue
                 if cell != (a, part):
