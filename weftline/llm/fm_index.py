@@ -20,7 +20,7 @@ from weftline.llm.buffers import Words, blocks, lower_ascii, mix, text_bytes, wo
 from weftline.workspace import materialize
 
 WINDOW = 13
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20  # a task holds some 40 bytes for each while it looks for words
 SAMPLED = 16  # every 16th suffix position is kept
 PHRASES = 200_000  # phrases sent to the tasks at once: at most 13 x 8 bytes each
 
