@@ -134,3 +134,12 @@ def test_aliased_join_keeps_both_keys(spark):
     joined = joins.join_aliased(a, b, "id", ("r", "b"))
     assert [tuple(r) for r in joined.select("r.id", "b.id").collect()] == [(2, 2)]
     assert joins.join_using(a, b, "id").columns == ["id"]
+
+
+@pytest.mark.parametrize("salts", [None, 16])
+def test_repeated_rows_are_not_broadcast(spark, plan, salts):
+    big = spark.range(1000).select("id", F.when(F.col("id") < 900, 1).otherwise(F.col("id") % 7).alias("k"))
+    small = spark.range(7).selectExpr("id AS k", "id AS w")
+    salted = joins.join_salted(big, small, "k", salts=salts, rows_per_salt=100)
+    assert "SortMergeJoin" in plan(salted)
+    assert salted.count() == 1000

@@ -144,7 +144,8 @@ def join_salted(
     retried task repeats; ``small`` rows are repeated once per salt.  With ``salts`` every key
     is spread that often.  Without it a sketch of the keys, which shuffles none of them, names the
     hot ones, and only these are spread, each in proportion to its rows.  NULL keys match nothing
-    and are spread alike.
+    and are spread alike.  The repeated rows are always shuffled and merged: the optimizer takes
+    them for as few as ``small`` has, and would send them whole to the driver and every task.
 
     AQE splits hot keys only where both sides of the join come straight from their shuffles;
     use this form where one side is an aggregate on the same key.
@@ -163,4 +164,4 @@ def join_salted(
         fanned = dealt.side(big, F.col(key), 0, spread_by).drop(*unused)
         copies = dealt.side(small, F.col(key), 1).drop(*unused)
         fanned, copies = (df.withColumnRenamed("__cell0", "__part") for df in (fanned, copies))
-    return fanned.join(copies, [key, "__part"], how).drop("__part")
+    return fanned.join(copies.hint("merge"), [key, "__part"], how).drop("__part")
