@@ -218,3 +218,25 @@ def test_contamination_without_benchmark_or_documents(spark, odd_docs, no_docs):
     assert fm_index.contamination(odd_docs, nothing).where("n_hit > 0").count() == 0
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert fm_index.contamination(no_docs, items).count() == 0
+
+
+def test_near_copies_are_compared_in_proportion_to_their_number(spark, counted, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for key in range(400):  # each has its own few words changed: most pairs link, few with any one of them
+        copy = list(words)
+        for _ in range(rng.randrange(1, 4)):
+            copy[rng.randrange(120)] = f"n{key}"
+        rows.append((key, " ".join(copy)))
+    compared, links = [], prefix_join._links
+
+    def counted_links(pairs, *rest):
+        compared.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(prefix_join, "_links", counted_links)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = prefix_join.similar_components(docs, percent=80, width=5)
+    assert counted(found, *found.columns) == brute.similar(rows, 80, 5)
+    assert sum(compared) < 8 * len(rows)

@@ -11,10 +11,14 @@ a fixed size; a shared counter only makes a shingle look more common, and any or
 3. Classes with equal size and equal remaining prefix become a group.  First each member of a group
    is checked against its smallest, and that one against a few of the smallest of its shingles:
    a number of checks in proportion to the classes, after which most copies are in one component.
-4. Then groups, apart by component, are paired by their prefixes across components only, filtered by
-   size, place in the prefix and bitmap, and expanded to members, which are checked in turn.  A link
-   within a component adds nothing, and any other has its first common shingle in both prefixes, so
-   no component is missed.
+4. Where a shingle still has many units (a group's members of one component) of other components,
+   each unit is checked against the nearest of a few others that are drawn for the shingle, again a
+   number in proportion to the units.  This is repeated while it joins components, so that a large
+   group of near copies becomes one without meeting all its pairs.
+5. Then units are paired by their prefixes across components only, filtered by size, place in the
+   prefix and bitmap, and expanded to members, which are checked in turn.  A link within a component
+   adds nothing, and any other has its first common shingle in both prefixes, so no component is
+   missed.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ FILTER_BITS = 25  # bits of the filter of sets to read: 4 MB
 PERCENT = 90
 WORDS = 3
 TOKEN_ROWS = 5000  # units of a common shingle that meet others in one place, about
+CROWD = 8  # units of other components in one shingle, from where on they are thinned out first
+DRAWN = 3  # units of a shingle and size class that others are compared with
 CELL_ROWS = 500  # sets that are compared with one set in one place, about
 BITMAP_WORDS = 4  # 64-bit words of a set's bitmap
 WIDE_BITS = 1 << 16  # bits of the wide bitmap of a large set, at most
@@ -414,28 +420,61 @@ def _stars(members: DataFrame, percent: int) -> DataFrame:
     return both.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).select("a", "b").distinct()
 
 
-def _across(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidates ``a, b`` of the second round: all that may link two components of the first.
-
-    A unit is what a group has of one component.  Units of different components meet in a shingle;
-    of the largest component of a shingle one side only is taken, which is cut into cells, so that
-    a large component costs one meeting for each unit outside it.
-    """
+def _units(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component and unit: what a group has of one component, named by its smallest."""
     named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     units = named.groupBy("group", "component").agg(F.min("node").alias("unit"), F.count("*").alias("many"))
     named = named.join(units, ["group", "component"]).select("unit", "node", "component", "n", "bits", "many", "prefix")
-    named = materialize(named, "units")
-    rows = named.where("node = unit").select(
-        "unit", "component", "n", "many", F.when(F.col("many") == 1, F.col("bits")).alias("bits"), F.inline("prefix")
-    )
+    return materialize(named, "units")
+
+
+def _open_shingles(named: DataFrame) -> DataFrame:
+    """Shingles of several components: the one with most units there, the units, and those of all others."""
+    rows = named.where("node = unit").select("component", F.explode("prefix.token").alias("token"))
     tokens = rows.groupBy("token", "component").agg(F.count("*").alias("units"))
     tokens = tokens.groupBy("token").agg(
-        F.max_by("component", "units").alias("major"), F.sum("units").alias("units"), F.count("*").alias("components")
+        F.max_by("component", "units").alias("major"),
+        F.sum("units").alias("units"),
+        F.count("*").alias("components"),
+        (F.sum("units") - F.max("units")).alias("outside"),
     )
     tokens = tokens.where("components > 1").select(
-        "token", "major", F.ceil(F.col("units") / TOKEN_ROWS).cast("int").alias("cells")
+        "token", "major", "outside", F.ceil(F.col("units") / TOKEN_ROWS).cast("int").alias("cells")
+    )
+    return materialize(tokens, "open-shingles")
+
+
+def _drawn(named: DataFrame, tokens: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Candidates ``a, b`` of a round between: for each unit in a crowded shingle the nearest of the
+    units drawn there, by bitmap, that are of another component.  Each round draws others."""
+    step = max(np.log(100 / percent), 0.01)
+    units = named.where("node = unit").withColumn("size", F.floor(F.log("n") / F.lit(float(step))))
+    rows = units.select("unit", "component", "size", "n", "bits", F.explode("prefix.token").alias("token"))
+    rows = rows.join(tokens.where(F.col("outside") > CROWD).select("token"), "token")
+    order = F.xxhash64("unit", "token", F.lit(turn))
+    drawn = rows.groupBy("token", "size", F.pmod(order, F.lit(DRAWN)).alias("draw")).agg(
+        F.min_by(F.struct(*(F.col(c).alias(f"{c}_b") for c in ("unit", "component", "n", "bits"))), order).alias("other")
+    )
+    drawn = drawn.select("token", F.col("size").alias("size_b"), "other.*")
+    near = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size_b")
+    rows = rows.select("token", near, *(F.col(c).alias(f"{c}_a") for c in ("unit", "component", "n", "bits")))
+    met = rows.join(drawn, ["token", "size_b"])
+    met = met.where((F.col("component_a") != F.col("component_b")) & _may_link("_a", "_b", percent))
+    best = met.groupBy("unit_a").agg(F.min_by("unit_b", F.struct(_distance("_a", "_b"), "unit_b")).alias("unit_b"))
+    return best.select(F.least("unit_a", "unit_b").alias("a"), F.greatest("unit_a", "unit_b").alias("b")).distinct()
+
+
+def _across(named: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Candidates ``a, b`` of the last round: all that may link two components of those before.
+
+    Units of different components meet in a shingle; of the largest component of a shingle one side
+    only is taken, which is cut into cells, so that a large component costs one meeting for each unit
+    outside it.
+    """
+    rows = named.where("node = unit").select(
+        "unit", "component", "n", "many", F.when(F.col("many") == 1, F.col("bits")).alias("bits"), F.inline("prefix")
     )
-    rows = rows.join(materialize(tokens, "open-shingles"), "token")
+    rows = rows.join(tokens.drop("outside"), "token")
     columns = ("unit", "component", "n", "many", "bits", "place")
     cell = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell")
     left = rows.where("component <> major").select("token", cell, *(F.col(c).alias(f"{c}_a") for c in columns))
@@ -501,8 +540,24 @@ def similar_components(
     members = materialize(prefixes.select("node", "group", "n", "prefix", "bits"), "members")
 
     links = _links(materialize(_stars(members, percent), "pairs"), rows, classes, percent, width)
-    labels = components(links)
-    more = _links(materialize(_across(members, labels, percent), "pairs"), rows, classes, percent, width)
+    labels, turn = components(links), 0
+    while True:
+        named = _units(members, labels)
+        tokens = _open_shingles(named)
+        if tokens.where(F.col("outside") > CROWD).isEmpty():
+            break
+        drawn = materialize(_drawn(named, tokens, turn, percent), "drawn")
+        found = _links(drawn, rows, classes, percent, width)
+        joined = found.count()
+        if joined:
+            links, turn = materialize(links.unionByName(found), "all-links"), turn + 1
+            labels = components(links)
+        if 4 * joined < drawn.count():  # mostly of components that aren't linked: those must all be compared
+            if joined:
+                named = _units(members, labels)
+                tokens = _open_shingles(named)
+            break
+    more = _links(materialize(_across(named, tokens, percent), "pairs"), rows, classes, percent, width)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
