@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import layout, sketches
 from weftline.operators.quality import column_profile
+from weftline.plans import queries_quality
 from weftline.workspace import materialize
 
 SCHEMA = "part INT, amount DOUBLE, tag STRING, low STRING, empty INT"
@@ -111,3 +112,9 @@ def test_a_cached_table_is_filled_at_once_and_released(spark, plan):
         assert "In-memory table kept_numbers" in text and "BroadcastHashJoin" in text
         assert joined.count() == 100
     assert not [t for t in spark.catalog.listTables() if t.name == "kept_numbers"]
+
+
+def test_exact_values_beside_sketches_need_no_expand(plan, spark):
+    found = queries_quality._profile_from_parts(spark, "/root/testdata/sf0.001")
+    assert "Expand" not in plan(found)
+    assert all(r.is_close for r in found.collect())

@@ -155,7 +155,7 @@ def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     return _profile(df, exact).drop("n_rows")
 
 
-def _distinct(df: DataFrame, name: str) -> DataFrame:
+def distinct_count(df: DataFrame, name: str) -> DataFrame:
     """One row: the number of distinct non-NULL values of a column."""
     value = F.col(f"`{name}`").alias("__value")
     return df.select(value).where("__value IS NOT NULL").distinct().agg(F.count("*").alias("n"))
@@ -178,7 +178,7 @@ def _profile(df: DataFrame, exact: bool) -> DataFrame:
     rows = []
     for i, f in enumerate(fields):
         numeric = isinstance(f.dataType, T.NumericType)
-        distinct = _distinct(df, f.name).scalar() if exact else F.col(f"__d{i}")
+        distinct = distinct_count(df, f.name).scalar() if exact else F.col(f"__d{i}")
         stats = [F.col(f"__{s}{i}") if numeric else F.lit(None).cast("double") for s in "alh"]
         rows.append(
             F.struct(
@@ -219,7 +219,7 @@ def suggest_constraints(df: DataFrame, exact: bool = False) -> DataFrame:
         open_ = [r[0] for r in profile.where(may_be_unique | may_be_category).select("column_name").collect()]
         counted = F.col("distinct_values")
         for name in open_:
-            counted = F.when(F.col("column_name") == name, _distinct(df, name).scalar()).otherwise(counted)
+            counted = F.when(F.col("column_name") == name, distinct_count(df, name).scalar()).otherwise(counted)
         known = F.col("column_name").isin(*open_) if open_ else F.lit(False)
         profile = profile.withColumn("distinct_values", F.when(known, counted))
     rules: Mapping[str, Column] = {

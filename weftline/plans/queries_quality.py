@@ -342,11 +342,13 @@ def _profile_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = sketches.sketch_parts(lines.select("l_shipdate", *PART_COLUMNS), F.year("l_shipdate"))
     kept = materialize(years, "year-sketches").where(F.col("column_name") != "l_shipdate")
     merged = sketches.merge_parts(kept)
-    exact = lines.agg(
-        *[F.count_distinct(c).alias(f"n_{c}") for c in PART_COLUMNS],
+    # Counted together, distinct values would repeat every line and give each value a median's buffer.
+    middles = lines.agg(
         *[F.median(c).alias(f"m_{c}") for c in PART_COLUMNS[:2]],
         *[F.stddev(c).alias(f"s_{c}") for c in PART_COLUMNS[:2]],
     )
+    counts = [quality.distinct_count(lines, c).scalar().alias(f"n_{c}") for c in PART_COLUMNS]
+    exact = middles.select("*", *counts)
     close = F.lit(True)
     for c in PART_COLUMNS:
         near = F.abs(F.col("distinct_values") - F.col(f"n_{c}")) <= 4 * sketches.DISTINCT_ERROR * F.col(f"n_{c}") + 1
