@@ -280,3 +280,19 @@ def test_continuous_processing_refuses_files(spark, tmp_path):
     with pytest.raises(Exception, match="[Cc]ontinuous"):
         query = run.start_continuous(stream, "memory", str(tmp_path / "c"), queryName="refused")
         query.processAllAvailable()
+
+
+def test_batches_are_smaller_where_a_few_keys_have_all_events(spark, monkeypatch):
+    asked, run_in_order = [], queries_streams.feed.run_in_order
+
+    def noted(df, time, build, purpose, batch_bytes):
+        asked.append(batch_bytes)
+        return run_in_order(df, time, build, purpose, batch_bytes)
+
+    monkeypatch.setattr(queries_streams.feed, "run_in_order", noted)
+    found = queries_streams._join_three(spark, "/root/testdata/sf0.001")
+    assert asked == [queries_streams.HOT_BATCH_BYTES] and asked[0] <= 1 << 27
+    monkeypatch.setattr(queries_streams, "HOT_BATCH_BYTES", 30_000)
+    cut = queries_streams._join_three(spark, "/root/testdata/sf0.001")
+    assert asked[1] == 30_000 and found.count() > 0
+    assert sorted(map(str, cut.collect())) == sorted(map(str, found.collect()))

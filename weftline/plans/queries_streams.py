@@ -10,6 +10,7 @@ from weftline.streaming import feed, fraud, joins, profiles, run, sources, windo
 from weftline.workspace import workspace
 
 BATCH_BYTES = feed.BATCH_BYTES
+HOT_BATCH_BYTES = 1 << 27  # where a few keys have all events: a task holds those of a key in one batch
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +19,11 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return sources.file_stream(spark, path, table(spark, sf_dir, name).schema)
 
 
-def _result(spark: SparkSession, sf_dir: str, purpose: str, build: feed.Build) -> DataFrame:
+def _result(
+    spark: SparkSession, sf_dir: str, purpose: str, build: feed.Build, batch_bytes: int | None = None
+) -> DataFrame:
     """The results of a query over the events, fed in order of their time; see ``feed.run_in_order``."""
-    return feed.run_in_order(table(spark, sf_dir, "events"), "ts", build, purpose, BATCH_BYTES)
+    return feed.run_in_order(table(spark, sf_dir, "events"), "ts", build, purpose, batch_bytes or BATCH_BYTES)
 
 
 def _rides(events: DataFrame) -> DataFrame:
@@ -222,7 +225,8 @@ def _join_three(spark: SparkSession, sf_dir: str) -> DataFrame:
         enriched = profiles.join_latest(_rides(events), customers, "customer_id")
         return profiles.join_latest(enriched, drivers, "driver_id", delays=(None, "1 minute"))
 
-    return _plain(_result(spark, sf_dir, "rides-customers-drivers", build))
+    batch_bytes = min(BATCH_BYTES, HOT_BATCH_BYTES)
+    return _plain(_result(spark, sf_dir, "rides-customers-drivers", build, batch_bytes))
 
 
 def _enriched(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
