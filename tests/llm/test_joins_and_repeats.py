@@ -240,3 +240,35 @@ def test_near_copies_are_compared_in_proportion_to_their_number(spark, counted,
     found = prefix_join.similar_components(docs, percent=80, width=5)
     assert counted(found, *found.columns) == brute.similar(rows, 80, 5)
     assert sum(compared) < 8 * len(rows)
+
+
+def test_postings_stay_where_sizes_and_places_let_them_link():
+    rng = np.random.default_rng(7)
+    for percent in (60, 80, 90):
+        rows = [(t, n, rng.integers(0, n // 4)) for t in range(40) for n in rng.integers(20, 60, rng.integers(1, 30))]
+        token, n, place = (np.array(c, np.int64) for c in zip(*sorted(rows), strict=True))
+        near = (token[:, None] == token) & ~np.eye(len(token), dtype=bool)
+        both, size = np.minimum.outer(n - place, n - place), np.add.outer(n, n)
+        small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
+        near &= (100 * small >= percent * large) & ((100 + percent) * both >= percent * size)
+        found = prefix_join.meeting(token, n, place, percent)
+        assert found[near.any(axis=1)].all()
+        few = np.bincount(token)[token] <= prefix_join.NEIGHBOURS
+        assert (found == near.any(axis=1))[few].all() and not found.all()
+
+
+def test_shingles_of_sets_too_different_in_size_are_dropped(spark):
+    short, long = "a b c d e f".split(), [f"w{i}" for i in range(200)]
+    docs = spark.createDataFrame([(" ".join(short),), (" ".join(short + long),)], "text string")
+    rarity = spark.sparkContext.broadcast(np.zeros(1 << prefix_join.COUNTER_BITS, np.uint8))
+    assert prefix_join._shared_prefixes(docs, rarity, 3, 1, 4).count()
+    assert not prefix_join._shared_prefixes(docs, rarity, 3, 90, 4).count()
+
+
+def test_only_texts_whose_tag_passes_are_read(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"a b c d e{i}") for i in range(50)], "tag long, text string")
+    rows = rows.withColumn("tag", F.xxhash64("text"))
+    wanted = spark.sparkContext.broadcast(prefix_join._filter(rows.where("text LIKE '%e7'")))
+    read = prefix_join._read_sets(rows, wanted, 3).collect()
+    want = prefix_join.shingle_sets(np.frombuffer(b"a b c d e7", np.uint8), np.array([0, 10]), 3)[0]
+    assert [(r.high, r.low) for r in read] == [prefix_join.set_hash(want)]

@@ -7,14 +7,16 @@ a fixed size; a shared counter only makes a shingle look more common, and any or
 
 1. Documents with equal sets become one class, whose id is a 128-bit hash of the set.  Links join
    classes, never keys: a key may have several sets or be null.  Components get their keys last.
-2. Shingles that only one class has in its prefix can link nothing and are dropped from prefixes.
+2. A shingle of a class's prefix is dropped where no other class has it in its own with a size and a
+   place that leave a link possible; the first common shingle of two linked classes stays in both.
 3. Classes with equal size and equal remaining prefix become a group.  First each member of a group
    is checked against its smallest, and that one against a few of the smallest of its shingles:
    a number of checks in proportion to the classes, after which most copies are in one component.
 4. Where a shingle still has many units (a group's members of one component) of other components,
    each unit is checked against the nearest of a few others that are drawn for the shingle, again a
-   number in proportion to the units.  This is repeated while it joins components, so that a large
-   group of near copies becomes one without meeting all its pairs.
+   number in proportion to the units.  This is repeated while most checks join components, so that a
+   large group of near copies becomes one without meeting all its pairs; where few units would meet
+   anyway, it is left out.
 5. Then units are paired by their prefixes across components only, filtered by size, place in the
    prefix and bitmap, and expanded to members, which are checked in turn.  A link within a component
    adds nothing, and any other has its first common shingle in both prefixes, so no component is
@@ -42,7 +44,9 @@ PERCENT = 90
 WORDS = 3
 TOKEN_ROWS = 5000  # units of a common shingle that meet others in one place, about
 CROWD = 8  # units of other components in one shingle, from where on they are thinned out first
+MEETINGS = 64  # meetings a unit, from where on units of crowded shingles are thinned out first
 DRAWN = 3  # units of a shingle and size class that others are compared with
+NEIGHBOURS = 8  # sets of next larger size in one shingle whose places are compared
 CELL_ROWS = 500  # sets that are compared with one set in one place, about
 BITMAP_WORDS = 4  # 64-bit words of a set's bitmap
 WIDE_BITS = 1 << 16  # bits of the wide bitmap of a large set, at most
@@ -107,7 +111,7 @@ def bits_apart(a: bytes, b: bytes) -> int:
 
 
 def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Rows of documents (key, n, high, low, bits, wide) and, apart, of each task's counters (slice, counts).
+    """Rows of documents (key, tag, n, high, low, bits, wide) and, apart, of each task's counters (slice, counts).
 
     A task counts to 255, which is as common as a shingle of its few documents needs to look.
     """
@@ -128,6 +132,7 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("key"),
+                    block.column("tag"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([h[0] for h in hashes], pa.int64()),
                     pa.array([h[1] for h in hashes], pa.int64()),
@@ -136,23 +141,23 @@ def _counted(df: DataFrame, key: str, width: int) -> DataFrame:
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                names=["key", "n", "high", "low", "bits", "wide", "slice", "counts"],
+                names=["key", "tag", "n", "high", "low", "bits", "wide", "slice", "counts"],
             )
         for number, part in enumerate(np.split(counts, SLICES) if kind is not None else ()):
             if part.any():
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.nulls(1, kind),
-                        *(pa.nulls(1, pa.int64()) for _ in range(3)),
+                        *(pa.nulls(1, pa.int64()) for _ in range(4)),
                         pa.nulls(1, pa.list_(pa.int64())),
                         pa.nulls(1, pa.binary()),
                         pa.array([number], pa.int32()),
                         pa.array([zlib.compress(part, 1)], pa.binary()),
                     ],
-                    names=["key", "n", "high", "low", "bits", "wide", "slice", "counts"],
+                    names=["key", "tag", "n", "high", "low", "bits", "wide", "slice", "counts"],
                 )
 
-    columns = "n long, high long, low long, bits array<bigint>, wide binary, slice int, counts binary"
+    columns = "tag long, n long, high long, low long, bits array<bigint>, wide binary, slice int, counts binary"
     return df.mapInArrow(scan, f"{schema}, {columns}")
 
 
@@ -181,8 +186,25 @@ def _rarity(counted: DataFrame) -> np.ndarray:
 POSTING = np.dtype([("token", "<u8"), ("high", "<i8"), ("low", "<i8"), ("n", "<i4"), ("place", "<i4")])
 
 
+def meeting(token: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Marks postings, in order of shingle and size, that sizes and places let link with another of their shingle.
+
+    One with more than NEIGHBOURS others in reach of its size on one side is marked whatever their places.
+    """
+    found = np.zeros(len(token), bool)
+    for step in range(1, NEIGHBOURS + 2):
+        n_a, n_b = n[:-step], n[step:]
+        meet = (token[:-step] == token[step:]) & (100 * n_a >= percent * n_b)
+        if step <= NEIGHBOURS:
+            reach = np.minimum(n_a - place[:-step], n_b - place[step:])
+            meet &= (100 + percent) * reach >= percent * (n_a + n_b)
+        found[:-step] |= meet
+        found[step:] |= meet
+    return found
+
+
 def _shared_prefixes(df: DataFrame, rarity, width: int, percent: int, buckets: int) -> DataFrame:
-    """``high, low, n, place, token``: prefix shingles that two classes at least have in theirs.
+    """``high, low, n, place, token``: prefix shingles that two classes at least have in theirs and may link by.
 
     Postings travel as one array for each block of texts and bucket of shingles.  A task sends a
     class once, so copies don't pile up in the buckets of their shingles.
@@ -218,9 +240,11 @@ def _shared_prefixes(df: DataFrame, rarity, width: int, percent: int, buckets: i
 
     def shared(group: pa.Table) -> pa.Table:
         data = b"".join(group.column("postings").to_pylist())
-        rows = np.unique(np.frombuffer(data, POSTING))  # by token, then class
-        same = rows["token"][1:] == rows["token"][:-1]
-        rows = rows[np.r_[False, same] | np.r_[same, False]] if len(rows) else rows
+        rows = np.frombuffer(data, POSTING)
+        rows = rows[np.lexsort([rows[c] for c in ("place", "low", "high", "n", "token")])]
+        rows = rows[np.r_[True, rows[1:] != rows[:-1]][: len(rows)]]
+        n, place = (rows[c].astype(np.int64) for c in ("n", "place"))
+        rows = rows[meeting(rows["token"], n, place, percent)]
         return pa.table(
             {
                 "high": rows["high"],
@@ -238,12 +262,12 @@ def _shared_prefixes(df: DataFrame, rarity, width: int, percent: int, buckets: i
 
 
 def _filter(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of the hashes of ``nodes``: of a fixed size, so others may pass it, but none is missed."""
+    """A bitmap of the tags of ``nodes``: of a fixed size, so others may pass it, but none is missed."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, used = np.zeros(1 << FILTER_BITS, bool), False
         for batch in batches:
-            bits[_filter_place(batch.column("high").to_numpy())] = True
+            bits[_filter_place(batch.column("tag").to_numpy())] = True
             used = True
         for number, part in enumerate(np.split(np.packbits(bits), SLICES) if used else ()):
             if part.any():
@@ -259,7 +283,7 @@ def _filter(nodes: DataFrame) -> np.ndarray:
         for number, bits in joined.items():
             yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "bits": [bits.tobytes()]})
 
-    marked = nodes.select("high").mapInArrow(mark, "slice int, bits binary").repartition("slice")
+    marked = nodes.select("tag").mapInArrow(mark, "slice int, bits binary").repartition("slice")
     size = (1 << FILTER_BITS) // 8 // SLICES
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for row in marked.mapInArrow(join, "slice int, bits binary").collect():
@@ -267,25 +291,25 @@ def _filter(nodes: DataFrame) -> np.ndarray:
     return whole
 
 
-def _filter_place(high: np.ndarray) -> np.ndarray:
-    return (high.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _filter_place(tag: np.ndarray) -> np.ndarray:
+    return (tag.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def _read_sets(rows: DataFrame, wanted, width: int) -> DataFrame:
-    """``high, low, shingles`` of the documents that pass the filter, equal ones once a task."""
+    """``high, low, shingles`` of the documents whose tag passes the filter, equal ones once a task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap_of, seen = wanted.value, set()
-        for block in blocks(batches, "text"):
-            sets = shingle_sets(*text_bytes(block.column("text")), width)
-            hashes = [set_hash(s) for s in sets]
-            place = _filter_place(np.array([h for h, _ in hashes], np.int64))
+        for batch in batches:
+            place = _filter_place(batch.column("tag").to_numpy())
             passes = (bitmap_of[place >> 3] >> (7 - (place & 7))) & 1
             found = []
-            for s, h, passed in zip(sets, hashes, passes.tolist(), strict=True):
-                if passed and len(s) and h not in seen:
-                    seen.add(h)
-                    found.append((*h, s))
+            for block in blocks([batch.filter(pa.array(passes == 1))], "text"):
+                for s in shingle_sets(*text_bytes(block.column("text")), width):
+                    h = set_hash(s)
+                    if len(s) and h not in seen:
+                        seen.add(h)
+                        found.append((*h, s))
             if found:
                 high, low, kept = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -297,7 +321,7 @@ def _read_sets(rows: DataFrame, wanted, width: int) -> DataFrame:
                     names=["high", "low", "shingles"],
                 )
 
-    return rows.select("text").mapInArrow(read, "high long, low long, shingles binary")
+    return rows.select("tag", "text").mapInArrow(read, "high long, low long, shingles binary")
 
 
 def _needed(a, b, percent: int):
@@ -317,10 +341,10 @@ def _distance(a: str, b: str):
     return sum(map(F.bit_count, words), F.lit(0))
 
 
-def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The ``a, b`` of ``pairs`` whose wide bitmaps leave a link possible."""
     for side in ("a", "b"):
-        wide = classes.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "wide")))
+        wide = members.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "wide")))
         pairs = pairs.join(wide, side)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,17 +359,17 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(compare, "a long, b long")
 
 
-def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
+def _links(pairs: DataFrame, rows: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
     """The ``a, b`` of ``pairs`` whose sets are similar enough; the sets are read from the texts anew.
 
-    A filter keeps most texts without a pair from being sent at all.  Sets travel to the cell of the
+    A filter of text hashes keeps most texts without a pair from being read at all.  Sets travel to the cell of the
     set they are compared with; a set with very many others has several cells.
     """
-    pairs = materialize(_near(pairs, classes, percent), "near-pairs")
+    pairs = materialize(_near(pairs, members, percent), "near-pairs")
     if pairs.isEmpty():
         return pairs
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    nodes = materialize(classes.select("node", "high", "low").join(ends, "node"), "nodes")
+    nodes = materialize(members.select("node", "high", "low", "tag").join(ends, "node"), "nodes")
     wanted = rows.sparkSession.sparkContext.broadcast(_filter(nodes))  # 2 ** FILTER_BITS bits
     # a cell is a set (role 0) with a part of those it is compared with (role 1)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts"))
@@ -353,7 +377,7 @@ def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int,
     compared = pairs.join(parts, "a").select("a", part.alias("part"), F.col("b").alias("node"), F.lit(1).alias("role"))
     numbers = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     with_all = parts.select("a", numbers.alias("part"), F.col("a").alias("node"), F.lit(0).alias("role"))
-    roles = compared.unionByName(with_all).join(nodes, "node")
+    roles = compared.unionByName(with_all).join(nodes.drop("tag"), "node")
     sets = _read_sets(rows, wanted, width).dropDuplicates(["high", "low"])
     cells = (
         sets.join(roles, ["high", "low"])
@@ -439,11 +463,18 @@ def _open_shingles(named: DataFrame) -> DataFrame:
         (F.sum("units") - F.max("units")).alias("outside"),
     )
     tokens = tokens.where("components > 1").select(
-        "token", "major", "outside", F.ceil(F.col("units") / TOKEN_ROWS).cast("int").alias("cells")
+        "token", "major", "units", "outside", F.ceil(F.col("units") / TOKEN_ROWS).cast("int").alias("cells")
     )
     return materialize(tokens, "open-shingles")
 
 
+def _crowded(named: DataFrame, tokens: DataFrame) -> bool:
+    """Whether units that meet in crowded shingles would do so very often for their number."""
+    met = tokens.where(F.col("outside") > CROWD).agg(F.sum(F.col("outside") * F.col("units")).alias("met"))
+    met = met.first()["met"] or 0
+    return met > 0 and met > MEETINGS * named.count()
+
+
 def _drawn(named: DataFrame, tokens: DataFrame, turn: int, percent: int) -> DataFrame:
     """Candidates ``a, b`` of a round between: for each unit in a crowded shingle the nearest of the
     units drawn there, by bitmap, that are of another component.  Each round draws others."""
@@ -474,7 +505,7 @@ def _across(named: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     rows = named.where("node = unit").select(
         "unit", "component", "n", "many", F.when(F.col("many") == 1, F.col("bits")).alias("bits"), F.inline("prefix")
     )
-    rows = rows.join(tokens.drop("outside"), "token")
+    rows = rows.join(tokens.drop("units", "outside"), "token")
     columns = ("unit", "component", "n", "many", "bits", "place")
     cell = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell")
     left = rows.where("component <> major").select("token", cell, *(F.col(c).alias(f"{c}_a") for c in columns))
@@ -518,12 +549,13 @@ def similar_components(
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("tag", F.xxhash64("text"))
     counted = materialize(_counted(rows, "key", width), "shingles")
     rarity = spark.sparkContext.broadcast(_rarity(counted))  # 2 ** COUNTER_BITS bytes
-    documents = counted.where("slice IS NULL").select("key", "n", "high", "low", "bits", "wide")
+    documents = counted.where("slice IS NULL").select("key", "tag", "n", "high", "low", "bits", "wide")
     classes = documents.where("n > 0").groupBy("high", "low").agg(
         F.min("key").alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-        F.first("wide").alias("wide"), F.count("*").alias("copies"),
+        F.first("wide").alias("wide"), F.min("tag").alias("tag"), F.count("*").alias("copies"),
     )
     # The number stands for (high, low) from here on; it is written once, so all later jobs read the same.
     # Classes of many copies have the smaller numbers: they are what others are most likely near to.
@@ -536,28 +568,30 @@ def similar_components(
     entry = F.struct("place", F.col("token"))
     prefixes = shared.groupBy("high", "low", "n").agg(F.sort_array(F.collect_list(entry)).alias("prefix"))
     group = F.unhex(F.md5(F.concat_ws(",", F.col("n"), F.to_json("prefix"))))
-    prefixes = prefixes.join(classes.drop("n", "wide"), ["high", "low"]).withColumn("group", group)
-    members = materialize(prefixes.select("node", "group", "n", "prefix", "bits"), "members")
+    prefixes = prefixes.join(classes.drop("key", "n"), ["high", "low"]).withColumn("group", group)
+    members = materialize(
+        prefixes.select("node", "group", "n", "prefix", "bits", "high", "low", "tag", "wide"), "members"
+    )
 
-    links = _links(materialize(_stars(members, percent), "pairs"), rows, classes, percent, width)
+    links = _links(materialize(_stars(members, percent), "pairs"), rows, members, percent, width)
     labels, turn = components(links), 0
     while True:
         named = _units(members, labels)
         tokens = _open_shingles(named)
-        if tokens.where(F.col("outside") > CROWD).isEmpty():
+        if not _crowded(named, tokens):
             break
         drawn = materialize(_drawn(named, tokens, turn, percent), "drawn")
-        found = _links(drawn, rows, classes, percent, width)
+        found = _links(drawn, rows, members, percent, width)
         joined = found.count()
         if joined:
             links, turn = materialize(links.unionByName(found), "all-links"), turn + 1
             labels = components(links)
-        if 4 * joined < drawn.count():  # mostly of components that aren't linked: those must all be compared
+        if 2 * joined < drawn.count():  # mostly of components that aren't linked: those must all be compared
             if joined:
                 named = _units(members, labels)
                 tokens = _open_shingles(named)
             break
-    more = _links(materialize(_across(named, tokens, percent), "pairs"), rows, classes, percent, width)
+    more = _links(materialize(_across(named, tokens, percent), "pairs"), rows, members, percent, width)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
@@ -567,7 +601,7 @@ def similar_components(
         "high", "low", F.coalesce("least", "key").alias("class_component")
     )
     named = materialize(named, "class-components")
-    documents = documents.drop("bits", "wide")
+    documents = documents.drop("tag", "bits", "wide")
     alone = documents.where("n = 0").withColumn("class_component", F.col("key"))
     linked = documents.where("n > 0").join(named, ["high", "low"])
     return alone.unionByName(linked).select(
