@@ -5,6 +5,7 @@ import bisect
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -172,6 +173,22 @@ def test_encoder_agrees_with_the_library():
     assert [ids.tolist() for ids in encoder.encode(texts[::-1])] == want[::-1]
 
 
+def test_encoder_keeps_each_run_once_and_small():
+    encoder = best_fit.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choices("abcdefghij", k=9)) for _ in range(20_000)})
+    encoder.encode(["a warm-up text."])
+    tracemalloc.start()
+    encoder.encode([" ".join(words)])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 300 * len(words)  # a worker holds 600,000 of them, and much of it after its task
+    odd = ["Ⱥb, ⱥb Ɓ. ɓ", "ⱥb Ⱥb ɓ! Ɓ", "Abc abc, ABC. abc", "ŉ ŉ, ẞ ß SS ss"]
+    texts = [*odd, *(f"{w.title()}, {w}. {w.upper()}" for w in words[:500])]
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
 def test_packing_odd_rows(odd_docs, odd_rows, no_docs):
     rows = best_fit.pack(odd_docs, capacity=512).collect()
     tokenizer = best_fit.Encoder(public_tokenizers.path("word_bpe_49k.json")).tokenizer

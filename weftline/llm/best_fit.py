@@ -29,7 +29,7 @@ from weftline.workspace import materialize
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_RUNS = 600_000  # encoded runs that a worker keeps; cleared when full
+CACHED_RUNS = 600_000  # encoded runs that a worker keeps, some 250 bytes each; cleared when full
 RANK_BUCKETS = 1024  # ranges in which the pieces of one length are numbered
 
 
@@ -51,7 +51,8 @@ class Encoder:
     do not look across it either, so the ids of a text are those of its runs in order.  Only space
     and line feed separate runs here; other white space stays inside a run, for the library.  Runs
     of plain letters and closing punctuation, which the tokenizer always parts, are handed to the
-    library's model as two words; all others go through its whole pipeline.
+    library's model as two words; all others go through its whole pipeline.  A lower-cased word is a
+    run too: its ids are kept under that name only, and capitals and punctuation build on them.
     """
 
     def __init__(self, path: str):
@@ -66,29 +67,21 @@ class Encoder:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {"": 0}
-        self.words: dict[str, list[int]] = {"": []}
+        self.tails: dict[str, list[int]] = {"": []}
         self.ids = np.zeros(0, np.uint32)
         self.start, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def _word(self, word: str) -> list[int]:
-        found = self.words.get(word)
+        written = word if word.isascii() else "".join(map(self.letters.get, word.encode()))
+        return [token.id for token in self.model.tokenize(written)]
+
+    def _tail(self, tail: str) -> list[int]:
+        found = self.tails.get(tail)
         if found is None:
-            written = word if word.isascii() else "".join(map(self.letters.get, word.encode()))
-            found = self.words[word] = [token.id for token in self.model.tokenize(written)]
+            found = self.tails[tail] = self._word(tail)
         return found
 
-    def _learn(self, runs: list[str]) -> None:
-        encoded, hard = [], []
-        for place, run in enumerate(runs):
-            if plain := PLAIN_RUN.fullmatch(run):
-                word, tail = plain.groups()
-                encoded.append(self._word(word.lower()) + self._word(tail) if tail else self._word(word.lower()))
-            else:
-                encoded.append([])
-                hard.append(place)
-        whole = self.tokenizer.encode_batch_fast([runs[i] for i in hard], add_special_tokens=False)
-        for place, encoding in zip(hard, whole, strict=True):
-            encoded[place] = encoding.ids
+    def _keep(self, runs: list[str], encoded: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
         flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
         first = len(self.ids) + np.cumsum(sizes) - sizes
@@ -97,6 +90,25 @@ class Encoder:
         self.start = np.concatenate([self.start, first])
         self.size = np.concatenate([self.size, sizes])
 
+    def _learn(self, runs: list[str]) -> None:
+        """Keep the ids of new ``runs``, and of their lower-cased words as the runs that these are too."""
+        words, formed, hard = {}, [], []
+        for run in runs:
+            if not (plain := PLAIN_RUN.fullmatch(run)):
+                hard.append(run)
+                continue
+            word, tail = plain.groups()
+            if (word := word.lower()) not in self.known:
+                words[word] = None
+            if run != word:
+                formed.append((run, word, tail))
+        whole = self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)
+        self._keep([*words, *hard], [*map(self._word, words), *(encoding.ids for encoding in whole)])
+        at = [self.known[word] for _, word, _ in formed]
+        parts = zip(self.start[at].tolist(), self.size[at].tolist(), formed, strict=True) if formed else ()
+        encoded = [self.ids[start : start + size].tolist() + self._tail(tail) for start, size, (_, _, tail) in parts]
+        self._keep([run for run, _, _ in formed], encoded)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         runs: list[str] = []
         ends = []
