@@ -4,10 +4,13 @@ import base64
 import bisect
 import hashlib
 import random
+import subprocess
+import sys
 import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -189,6 +192,23 @@ def test_encoder_keeps_each_run_once_and_small():
     assert [ids.tolist() for ids in encoder.encode(texts)] == want
 
 
+def test_encoder_starts_no_threads():
+    """Threads of the library, one a core of the machine, cost a task much of its time and encode a few runs only."""
+    script = """
+import os, public_tokenizers
+from weftline.llm.best_fit import Encoder
+encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+before = len(os.listdir("/proc/self/task"))
+for n in range(20):
+    encoder.encode([f"plain words {n} a-{n} x_{n}", f"it's {n}.5"])
+print(before, len(os.listdir("/proc/self/task")))
+"""
+    root = Path(best_fit.__file__).parents[2]
+    said = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, check=True, timeout=120)
+    before, after = said.stdout.split()
+    assert before == after
+
+
 def test_packing_odd_rows(odd_docs, odd_rows, no_docs):
     rows = best_fit.pack(odd_docs, capacity=512).collect()
     tokenizer = best_fit.Encoder(public_tokenizers.path("word_bpe_49k.json")).tokenizer

@@ -102,8 +102,9 @@ class Encoder:
                 words[word] = None
             if run != word:
                 formed.append((run, word, tail))
-        whole = self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)
-        self._keep([*words, *hard], [*map(self._word, words), *(encoding.ids for encoding in whole)])
+        # one by one: a batch goes to the library's threads, which cost a task of one core more than a few runs do
+        whole = [self.tokenizer.encode(run, add_special_tokens=False).ids for run in hard]
+        self._keep([*words, *hard], [*map(self._word, words), *whole])
         at = [self.known[word] for _, word, _ in formed]
         parts = zip(self.start[at].tolist(), self.size[at].tolist(), formed, strict=True) if formed else ()
         encoded = [self.ids[start : start + size].tolist() + self._tail(tail) for start, size, (_, _, tail) in parts]
