@@ -272,3 +272,26 @@ def test_only_texts_whose_tag_passes_are_read(spark, monkeypatch):
     read = prefix_join._read_sets(rows, wanted, 3).collect()
     want = prefix_join.shingle_sets(np.frombuffer(b"a b c d e7", np.uint8), np.array([0, 10]), 3)[0]
     assert [(r.high, r.low) for r in read] == [prefix_join.set_hash(want)]
+
+
+def test_maps_reach_the_driver_packed(spark, monkeypatch):
+    """Maps of a fixed size come to the driver's JVM as rows; of few texts they are nearly empty."""
+    words = [f"w{n}" for n in range(60)]
+    docs = spark.createDataFrame([(n, " ".join(words[n % 4 : n % 4 + 50])) for n in range(12)], "doc_id long, text string")
+    sizes = []
+
+    def counted(rows):
+        for row in rows:
+            parts = [x for value in row for x in (value if isinstance(value, list) else [value])]
+            sizes.append(sum(len(x) for x in parts if isinstance(x, (bytes, bytearray))))
+            yield row
+
+    kind = type(docs)
+    collect, iterate = kind.collect, kind.toLocalIterator
+    monkeypatch.setattr(kind, "collect", lambda self: list(counted(collect(self))))
+    monkeypatch.setattr(kind, "toLocalIterator", lambda self, *args: counted(iterate(self, *args)))
+    components = prefix_join.similar_components(docs)
+    spans = repeats.repeated_spans(docs)
+    monkeypatch.undo()
+    assert components.count() == 12 and spans.count() == 11
+    assert 0 < sum(sizes) < 1 << 20  # 16 MB of counters, 4 MB for each filter, 16 MB for each bitmap of grams

@@ -172,14 +172,15 @@ def _rarity(counted: DataFrame) -> np.ndarray:
                 sums[number] = sums[number] + counts if number in sums else counts.astype(np.uint64)
         for number, total in sums.items():
             scaled = np.minimum(255, 6 * np.log2(1.0 + total)).astype(np.uint8)
-            yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "scaled": [scaled.tobytes()]})
+            packed = zlib.compress(scaled, 1)  # the driver's JVM holds all rows at once
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "scaled": [packed]})
 
     slices = counted.where("slice IS NOT NULL").select("slice", "counts").repartition("slice")
     scaled = slices.mapInArrow(add, "slice int, scaled binary").collect()
     size = (1 << COUNTER_BITS) // SLICES
     table = np.zeros(1 << COUNTER_BITS, np.uint8)
     for row in scaled:
-        table[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(row["scaled"], np.uint8)
+        table[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(zlib.decompress(row["scaled"]), np.uint8)
     return table
 
 
@@ -281,13 +282,14 @@ def _filter(nodes: DataFrame) -> np.ndarray:
                 bits = np.frombuffer(zlib.decompress(part), np.uint8)
                 joined[number] = joined[number] | bits if number in joined else bits
         for number, bits in joined.items():
-            yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "bits": [bits.tobytes()]})
+            packed = zlib.compress(bits, 1)
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "bits": [packed]})
 
     marked = nodes.select("tag").mapInArrow(mark, "slice int, bits binary").repartition("slice")
     size = (1 << FILTER_BITS) // 8 // SLICES
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for row in marked.mapInArrow(join, "slice int, bits binary").collect():
-        whole[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+        whole[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
     return whole
 
 
