@@ -277,7 +277,8 @@ def test_only_texts_whose_tag_passes_are_read(spark, monkeypatch):
 def test_maps_reach_the_driver_packed(spark, monkeypatch):
     """Maps of a fixed size come to the driver's JVM as rows; of few texts they are nearly empty."""
     words = [f"w{n}" for n in range(60)]
-    docs = spark.createDataFrame([(n, " ".join(words[n % 4 : n % 4 + 50])) for n in range(12)], "doc_id long, text string")
+    rows = [(n, " ".join(words[n % 4 : n % 4 + 50])) for n in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     sizes = []
 
     def counted(rows):
