@@ -296,3 +296,36 @@ def test_maps_reach_the_driver_packed(spark, monkeypatch):
     monkeypatch.undo()
     assert components.count() == 12 and spans.count() == 11
     assert 0 < sum(sizes) < 1 << 20  # 16 MB of counters, 4 MB for each filter, 16 MB for each bitmap of grams
+
+
+def test_an_index_is_made_only_of_windows_that_stand_twice(monkeypatch):
+    rng = random.Random(12)
+
+    def noise(n):
+        return bytes(rng.choices(b"abcdefgh", k=n))
+
+    # texts with one common run of 30 bytes, which gives shared grams and no shared window, and a few with 90
+    short, long = noise(30), noise(90)
+    texts = [noise(70) + short + noise(70) for _ in range(200)] + [noise(70) + long + noise(70) for _ in range(3)]
+    rows, data = [], []
+    for owner, text in enumerate(texts):
+        whole = np.frombuffer(text, np.uint8)
+        _, start, windows, _ = repeats.segments(whole, np.array([0, len(text)]), 50)
+        part = np.zeros(len(start), repeats.SEGMENT)
+        part["owner"], part["tag"], part["start"], part["windows"] = owner, owner, start, windows
+        rows.append(part)
+        data += [whole[a : a + n + 49] for a, n in zip(start, windows, strict=True)]
+    rows, sent = np.concatenate(rows), np.concatenate(data)
+    indexed = []
+
+    class Counted(run_index.RunIndex):
+        def __init__(self, strings):
+            indexed.extend(map(len, strings))
+            super().__init__(strings)
+
+    monkeypatch.setattr(repeats, "RunIndex", Counted)
+    spans = repeats._merged(*repeats._index_bucket(rows, sent, 50))
+    # beside the 90 bytes may stand equal ones by chance
+    assert [s["owner"] for s in spans] == [201, 202]
+    assert all(s["start"] <= 70 and 160 <= s["end"] <= 170 for s in spans)
+    assert sum(indexed) < 20 * 90 < 0.05 * len(sent)
