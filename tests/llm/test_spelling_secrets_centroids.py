@@ -87,6 +87,33 @@ def test_variants_of_odd_rows(odd_docs, odd_rows, no_docs, counted):
         spelling_trie.spelling_variants(odd_docs, ratio=1)
 
 
+def test_rows_made_of_lists_are_never_broadcast(spark, monkeypatch):
+    """Spark takes them for as small as what they are made of, and would send them through the driver."""
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choices("abcd", k=rng.randint(7, 9))) for _ in range(300)})
+    rows = [(n, " ".join([word] * rng.choice((2, 30)))) for n, word in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans = defaultdict(list)
+    written = spelling_trie.materialize
+
+    def seen(df, purpose):
+        plans[purpose].append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, purpose)
+
+    monkeypatch.setattr(spelling_trie, "materialize", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    try:
+        found = spelling_trie.spelling_variants(docs)
+        plans["result"].append(found._jdf.queryExecution().executedPlan().toString())
+        assert found.where("form IS NOT NULL").count() > 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name in ("trie-paths", "spelling-forms", "spelling-roots", "result"):
+        assert not [p for p in plans[name] if "Broadcast" in p], name
+    assert "SortMergeJoin" in plans["trie-paths"][0] and "Broadcast" not in plans["trie-states"][0]
+
+
 def test_prefix_rows_start_at_the_middle():
     words = pa.array(["aaaaaaa" + w for w in ("b", "c", "dé")])
     for back in (False, True):
