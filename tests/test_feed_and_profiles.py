@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import functools
+import pickle
 import random
 from collections import Counter
 
@@ -145,3 +147,57 @@ def test_clashing_columns_are_an_error(spark):
     a = spark.createDataFrame([], "k INT, name STRING, event_time TIMESTAMP")
     with pytest.raises(ValueError, match="name"):
         profiles.join_latest(a, a, "k")
+
+
+@pytest.mark.parametrize("valid", [None, 1800])
+def test_grouped_keys_get_the_profile_of_their_time(spark, monkeypatch, valid):
+    """Keys that share a group, and groups that share a key, give what keys give by themselves."""
+    grouped = functools.partial(profiles.join_latest, groups=3, copies=2)
+    monkeypatch.setattr(profiles, "join_latest", grouped)
+    rng = random.Random(5)
+    people = [("hot", "A", 1, at(0)), ("hot", "B", 2, at(40)), ("hot", "C", 3, at(90)), ("c1", "D", 4, at(0.5)), ("c2", "E", 5, at(0))]
+    waves = [(_rides(rng, 60 * w, 60 * w + 59, 40, 100 * w), []) for w in range(4)]
+    waves[0] = (waves[0][0], [people[1], ("hot", "AB", 2, at(40))])  # of one time: the greater counts
+    waves[1] = (waves[1][0], [people[2]])
+    early = [(900, "c1", decimal.Decimal(1), at(1)), (901, "c1", decimal.Decimal(1), at(0.2))]
+    waves.insert(0, (early, [people[0], people[3], people[3], people[4]]))
+    people.append(("new", "F", 6, at(300)))  # its time lets the watermark pass all others
+    waves.append(([(999, "none", decimal.Decimal(1), at(400))], [people[-1]]))
+    found, checkpoint, _ = _replay(spark, waves, valid)
+    both = [("hot", max("B", "AB", key=lambda n: pickle.dumps((n, 2))), 2, at(40))]
+    known = [p for p in people if p[1] != "B"] + both
+    assert found == _latest([e for wave, _ in waves for e in wave], known, valid)
+    held = {}
+    for (part,) in _state(spark, checkpoint, "profiles").select("list_element.part").collect():
+        for key, (_, details) in pickle.loads(part).items():
+            held[key] = details
+    newest = {"c1": [("D", 4)], "c2": [("E", 5)], "hot": [("C", 3)], "new": [("F", 6)]}
+    assert held == (newest if valid is None else {"new": newest["new"]})
+    waiting = [e for r in _state(spark, checkpoint, "waiting").collect() for _, e in pickle.loads(r.list_element.part)]
+    assert [event[0] for event in waiting] == [999]  # what the watermark has not passed
+
+
+def test_events_wait_for_their_profile_in_a_group(spark, monkeypatch):
+    grouped = functools.partial(profiles.join_latest, groups=2, copies=3)
+    monkeypatch.setattr(profiles, "join_latest", grouped)
+    test_events_wait_for_their_profile(spark)
+
+
+def test_a_group_of_many_keys_is_kept_in_parts():
+    class Held:
+        rows = ()
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = rows
+
+        def clear(self):
+            self.rows = ()
+
+    many = {key: ([key], [(f"n{key}",)]) for key in range(2 * profiles.CHUNK_KEYS + 5)}
+    group = profiles.LatestProfiles("k", ["k"], ["name"], None)
+    group.profiles = Held()
+    group._write(group.profiles, map(dict, profiles._parts(many.items())))
+    assert len(group.profiles.rows) == 3 and group._profiles() == many

@@ -296,3 +296,20 @@ def test_batches_are_smaller_where_a_few_keys_have_all_events(spark, monkeypatch
     cut = queries_streams._join_three(spark, "/root/testdata/sf0.001")
     assert asked[1] == 30_000 and found.count() > 0
     assert sorted(map(str, cut.collect())) == sorted(map(str, found.collect()))
+
+
+def test_three_way_join_holds_customers_in_groups(spark, tmp_path, monkeypatch):
+    """Every key of a batch costs messages to the JVM; state by group costs them for a few hundred groups."""
+    seen, start = [], run.start
+    monkeypatch.setattr(run, "start", lambda writer, session: seen.append(start(writer, session)) or seen[-1])
+    spark.range(6000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) AS ts", "id % 3000 AS user_id",
+        "'x' AS event_type", "CAST(id AS DOUBLE) AS value", "'' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(2500).selectExpr("id AS c_custkey", "concat('c', id) AS c_name").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(1, 2000).selectExpr("id AS s_suppkey", "concat('s', id) AS s_name").write.parquet(str(tmp_path / "supplier.parquet"))
+    found = QUERIES["stream_join_three_way"](spark, str(tmp_path)).collect()
+    want = {(i, f"c{i % 3000}", f"s{i % 3000 % 10}") for i in range(6000) if i % 3000 < 2500 and i % 10}
+    assert {(r.ride_id, r.customer_name, r.driver_name) for r in found} == want and len(found) == len(want)
+    for operator in [p for p in seen[0].recentProgress if p.stateOperators][-1].stateOperators:
+        assert 0 < operator.numRowsTotal <= 2 * 256  # parts of groups; a customer each before, and a timer

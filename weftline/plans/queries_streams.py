@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.operators.layout import total_bytes
 from weftline.plans.registry import money, query, table
 from weftline.streaming import feed, fraud, joins, profiles, run, sources, windows
 from weftline.workspace import workspace
 
 BATCH_BYTES = feed.BATCH_BYTES
+GROUP_BYTES = 1 << 21
+LEAST_GROUPS = 256
+HOT_COPIES = 4  # groups that share the events of a driver
 HOT_BATCH_BYTES = 1 << 27  # where a few keys have all events: a task holds those of a key in one batch
 
 
@@ -191,6 +197,11 @@ def _profiles(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, st
     )
 
 
+def _groups(profiles: DataFrame) -> int:
+    """Groups of keys of which each holds about GROUP_BYTES of profiles."""
+    return max(LEAST_GROUPS, math.ceil(total_bytes(profiles) / GROUP_BYTES))
+
+
 CUSTOMERS = {"c_custkey": "customer_id", "c_name": "customer_name"}
 DRIVERS = {"s_suppkey": "driver_id", "s_name": "driver_name"}
 
@@ -222,8 +233,11 @@ def _join_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(events: DataFrame) -> DataFrame:
         customers = _profiles(spark, sf_dir, "customer", CUSTOMERS)
         drivers = _profiles(spark, sf_dir, "supplier", DRIVERS)
-        enriched = profiles.join_latest(_rides(events), customers, "customer_id")
-        return profiles.join_latest(enriched, drivers, "driver_id", delays=(None, "1 minute"))
+        groups = {name: _groups(table(spark, sf_dir, name)) for name in ("customer", "supplier")}
+        enriched = profiles.join_latest(_rides(events), customers, "customer_id", groups=groups["customer"])
+        return profiles.join_latest(
+            enriched, drivers, "driver_id", delays=(None, "1 minute"), groups=groups["supplier"], copies=HOT_COPIES
+        )
 
     batch_bytes = min(BATCH_BYTES, HOT_BATCH_BYTES)
     return _plain(_result(spark, sf_dir, "rides-customers-drivers", build, batch_bytes))

@@ -2,13 +2,18 @@
 
 Both streams are united and grouped by their key.  A key's state holds its profile once; a newer
 profile replaces it as soon as no event between the two can arrive any more.
+
+Every key of a batch costs several messages to the JVM.  Where there are millions of keys, they are
+grouped by a hash and a group's state is read and written as a whole.
 """
 
 from __future__ import annotations
 
 import bisect
 import pickle
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -18,7 +23,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from weftline.streaming import run
 
 TIME = "event_time"
-MICROS, IS_PROFILE = "__micros", "__is_profile"
+MICROS, IS_PROFILE, GROUP, COPY = "__micros", "__is_profile", "__group", "__copy"
+CHUNK_KEYS = 10_000  # keys whose profiles are one row of a group's state
 
 
 class LatestProfile(StatefulProcessor):
@@ -44,13 +50,25 @@ class LatestProfile(StatefulProcessor):
             return None
         return profiles[at]
 
+    def _split(self, rows: Iterator[Row], key: str | None = None) -> tuple[list[tuple], list[tuple]]:
+        """(time, event) of the events and (time, key, details) of the profiles; places are looked up once."""
+        events, arrived = [], []
+        for first in islice(rows, 1):
+            place = first.__fields__.index
+            micros, is_profile = place(MICROS), place(IS_PROFILE)
+            key = place(key or MICROS)
+            names, details = [place(c) for c in self.names], [place(c) for c in self.details]
+            for row in chain([first], rows):
+                if row[is_profile]:
+                    arrived.append((row[micros], row[key], tuple([row[i] for i in details])))
+                else:
+                    events.append((row[micros], tuple([row[i] for i in names])))
+        return events, arrived
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        joined, events, arrived = Row(*self.names, *self.details), [], []
-        for row in rows:
-            if row[IS_PROFILE]:
-                arrived.append((row[MICROS], pickle.dumps(tuple(row[c] for c in self.details))))
-            else:
-                events.append((row[MICROS], tuple(row[c] for c in self.names)))
+        joined = Row(*self.names, *self.details)
+        events, arrived = self._split(rows)
+        arrived = [(micros, pickle.dumps(details)) for micros, _, details in arrived]
         held = list(self.profiles.get()) if self.profiles.exists() else []
         known = dict(held)
         for micros, row in arrived:  # of two profiles of one time the greater row counts, in any order
@@ -107,12 +125,103 @@ class LatestProfile(StatefulProcessor):
         pass
 
 
+class LatestProfiles(LatestProfile):
+    """``LatestProfile`` for a group of keys: what is known of all of them is read once a batch.
+
+    State rows are pickled parts: of a dict from a key to its times in order and the details of each,
+    and of the list of waiting (time, event).
+    """
+
+    def __init__(self, key: str, names: list[str], details: list[str], valid_micros: int | None):
+        super().__init__(names, details, valid_micros)
+        self.key, self.at = key, names.index(key)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.profiles = handle.getListState("profiles", "part BINARY")
+        self.waiting = handle.getListState("waiting", "part BINARY")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        joined = Row(*self.names, *self.details)
+        events, arrived = self._split(rows, self.key)
+        known, waited, changed = self._profiles(), self._waited(), bool(arrived)
+        new = defaultdict(list)
+        for micros, key, details in arrived:
+            new[key].append((micros, details))
+        for key, rows in new.items():
+            newest = dict(zip(*known.get(key, ((), ())), strict=True))
+            for micros, details in rows:  # of two profiles of one time the greater row counts, in any order
+                newest[micros] = max(details, newest.get(micros, details), key=pickle.dumps)
+            times = sorted(newest)
+            known[key] = (times, [newest[t] for t in times])
+        late, behind = [], timerValues.getCurrentWatermarkInMs() * 1000
+        for micros, event in chain(waited, events):
+            found = self._found(*known.get(event[self.at], ((), ())), micros)
+            if found is not None:
+                yield joined(*event, *found)
+            elif micros >= behind:
+                late.append((micros, event))
+        self._keep(known, changed, waited, late, behind)
+
+    def _profiles(self) -> dict[object, tuple[list[int], list[tuple]]]:
+        known = {}
+        for (part,) in self.profiles.get():
+            known |= pickle.loads(part)
+        return known
+
+    def _waited(self) -> list[tuple]:
+        return [row for (part,) in self.waiting.get() for row in pickle.loads(part)]
+
+    def _keep(self, known: dict, changed: bool, waited: list, late: list, behind: int) -> None:
+        """``_hold`` for all keys of the group, with one timer for the first change of any."""
+        ends = [micros for micros, _ in late]
+        for key, (times, details) in known.items():
+            if len(times) > 1 or self.valid is not None:
+                first = max(0, bisect.bisect_right(times, behind) - 1)
+                if self.valid is not None:
+                    first = max(first, bisect.bisect_left(times, behind - self.valid))
+                    ends += [t + self.valid for t in times[first:]]
+                ends += times[first + 1 :]
+                if first:
+                    known[key], changed = (times[first:], details[first:]), True
+        if changed:
+            self._write(self.profiles, map(dict, _parts((k, v) for k, v in known.items() if v[0])))
+        if waited != late:
+            self._write(self.waiting, _parts(late))
+        timers, wanted = list(self.handle.listTimers()), [min(ends) // 1000 + 1] if ends else []
+        if timers != wanted:
+            for timer in timers:
+                self.handle.deleteTimer(timer)
+            for timer in wanted:
+                self.handle.registerTimer(timer)
+
+    @staticmethod
+    def _write(state, parts: Iterator) -> None:
+        state.clear()
+        rows = [(pickle.dumps(part),) for part in parts if part]
+        if rows:
+            state.put(rows)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        behind, waited = timerValues.getCurrentWatermarkInMs() * 1000, self._waited()
+        self._keep(self._profiles(), False, waited, [(m, e) for m, e in waited if m >= behind], behind)
+        return iter(())
+
+
+def _parts(rows) -> Iterator[list]:
+    rows = iter(rows)
+    while part := list(islice(rows, CHUNK_KEYS)):
+        yield part
+
+
 def join_latest(
     events: DataFrame,
     profiles: DataFrame,
     key: str,
     valid_seconds: int | None = None,
     delays: tuple[str | None, str | None] = ("1 minute", "1 minute"),
+    groups: int | None = None,
+    copies: int = 1,
 ) -> DataFrame:
     """Every event with the profile its key had at the event's time; events without one wait for it.
 
@@ -124,6 +233,10 @@ def join_latest(
     nothing.  ``delays`` set the watermarks (None: the input has one).  The events of a key in one
     batch are held by its task, so bound what a batch reads (``feed`` does).
 
+    ``groups`` is for many keys (strings, numbers or dates): they are dealt over so many groups, whose
+    profiles a task holds one group at a time.  The events of a hot key go to as many as ``copies`` of
+    them, all of which have its profiles.  Without ``groups`` each key is by itself.
+
     Needs the RocksDB state store, which ``run.start`` sets.
     """
     names = events.columns
@@ -141,8 +254,19 @@ def join_latest(
     shape = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
     valid = None if valid_seconds is None else valid_seconds * 1_000_000
     run.set_defaults(events.sparkSession)  # the state store must be known when the query is planned
-    return both.groupBy(key).transformWithState(
-        statefulProcessor=LatestProfile(names, details, valid),
+    processor = LatestProfile(names, details, valid)
+    if groups is not None:
+        number = F.lit(0)
+        if copies > 1:
+            spread = [c for c in names if isinstance(events.schema[c].dataType, T.AtomicType)]
+            own = F.array(F.pmod(F.xxhash64(*spread), F.lit(copies)).cast("int"))
+            every = F.sequence(F.lit(0), F.lit(copies - 1))
+            both = both.withColumn(COPY, F.explode(F.when(F.col(IS_PROFILE), every).otherwise(own)))
+            number = F.col(COPY)
+        both = both.withColumn(GROUP, F.pmod(F.xxhash64(key, number), F.lit(groups)).cast("int")).drop(COPY)
+        processor = LatestProfiles(key, names, details, valid)
+    return both.groupBy(key if groups is None else GROUP).transformWithState(
+        statefulProcessor=processor,
         outputStructType=shape,
         outputMode="Append",
         timeMode="EventTime",
